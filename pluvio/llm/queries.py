@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language_id, media, sharding
+from . import fingerprints, language_id, media, mixing, pii, sharding
 from .common import materialize, table
 
 SHARDS = 8
 
 
+def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", language_id.fold(F.col("doc_id")) == 0)
     model = language_id.train(docs, F.col("held_out"))
@@ -23,6 +27,11 @@ def op4_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.store_and_read(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -38,8 +47,10 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii_disclosure": op2_pii_disclosure,
     "op3_language_id": op3_language_id,
     "op4_media_chunks": op4_media_chunks,
+    "op5_entropy_balance": op5_entropy_balance,
     "op9_order_minhash": op9_order_minhash,
     "op10_virtual_slots": op10_virtual_slots,
 }
