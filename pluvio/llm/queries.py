@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language_id, media, mixing, pii, sharding
+from . import fingerprints, jaccard_join, language_id, media, mixing, pii, sharding
 from .common import materialize, table
 
 SHARDS = 8
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard_join.join(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op2_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -47,6 +52,7 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_pii_disclosure": op2_pii_disclosure,
     "op3_language_id": op3_language_id,
     "op4_media_chunks": op4_media_chunks,
