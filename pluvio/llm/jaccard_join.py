@@ -296,9 +296,11 @@ def part_cells(large: DataFrame, sets: DataFrame) -> DataFrame:
     dealt = large.withColumn("part", F.pmod(lane, F.ceil(F.col("members") / REGION)).cast("int"))
     pivots = large.where("home").withColumn("pivot", rank).where(F.col("pivot") <= PIVOTS).select("region", "cell", "class", "pivot", "members")
     everywhere = pivots.withColumn("part", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("members") / REGION) - 1).cast("int"))))
-    left = dealt.select("region", "cell", "class", "home", "part").join(sets.select("class", "shingles"), "class").groupBy("region", "cell", "part")
-    right = everywhere.drop("members").join(sets.select("class", "shingles"), "class").groupBy("region", "cell", "part")
-    return left.cogroup(right).applyInPandas(_part, "region binary, cell string, class binary, home boolean")
+    left = dealt.select("region", "cell", "class", "home", "part").join(sets.select("class", "shingles"), "class")
+    right = everywhere.select("region", "cell", "part", "class", "pivot").join(sets.select("class", "shingles"), "class")
+    key = ["region", "cell", "part"]
+    left, right = (x.toDF(*x.columns) for x in (left, right))  # fresh names: both sides come from the same tables
+    return left.groupBy(*key).cogroup(right.select(*(F.col(c).alias(c) for c in right.columns)).groupBy(*key)).applyInPandas(_part, "region binary, cell string, class binary, home boolean")
 
 
 def tiles(rows: DataFrame) -> DataFrame:

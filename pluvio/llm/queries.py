@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, language_id, media, mixing, pii, sharding
+from . import fingerprints, jaccard_join, language_id, media, mixing, pii, sharding, warc
 from .common import materialize, table
 
 SHARDS = 8
@@ -37,6 +37,20 @@ def op5_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits a replica of the pages' WARC files in which every 97th record (by id, from 13) has a changed byte."""
+    from pyspark.sql.functions import col
+
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    leaves = materialize(warc.lay_out(pages), "leaves")
+    damaged = F.pmod(col("page_id"), F.lit(97)) == 13
+    replica = leaves.withColumn("digest", F.when(damaged, F.sha2(F.concat(F.lit("damaged:"), "digest").cast("binary"), 256)).otherwise(col("digest")))
+    mine, theirs = materialize(warc.tree(leaves), "tree"), materialize(warc.tree(replica), "replica_tree")
+    found = warc.audit(mine, theirs).select("file", "place", F.lit(True).alias("hit"))
+    out = leaves.join(found, ["file", "place"], "left")
+    return out.select("page_id", "length", col("digest").alias("record_sha256"), F.coalesce("hit", F.lit(False)).alias("corrupt"))
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -57,8 +71,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_media_chunks": op4_media_chunks,
     "op5_entropy_balance": op5_entropy_balance,
+    "op7_merkle_audit": op7_merkle_audit,
     "op9_order_minhash": op9_order_minhash,
     "op10_virtual_slots": op10_virtual_slots,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_RECORD = """encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', coalesce(cast(page_id as varchar), 'none'),
+  '>', chr(13), chr(10), 'WARC-Date: 1970-01-01T00:00:00Z', chr(13), chr(10), 'WARC-Target-URI: ', regexp_replace(coalesce(url, ''), '[\\r\\n]', ' ', 'g'), chr(13), chr(10),
+  'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', cast(strlen(coalesce(html, '')) as varchar), chr(13), chr(10), chr(13), chr(10), coalesce(html, ''), chr(13), chr(10), chr(13), chr(10)))"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_merkle_audit": f"""
+        select page_id, octet_length(record) as length, sha256(record) as record_sha256, coalesce(page_id % 97 = 13, false) as corrupt
+        from (select page_id, {_RECORD} as record from pages)""",
+}
