@@ -24,7 +24,6 @@ PATTERNS = {
 WORTH = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
 WINDOW = 64  # code points on either side of an entity
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 2  # shares of IC; distinct texts in which t stands near c
-BROADCAST_TERMS = 4096
 TERM = r"\p{L}{3,}"
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
@@ -121,14 +120,11 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     near = c.select("key", "lane", "kind", "value", F.explode("near.term").alias("term"))
     n_ct = near.groupBy("kind", "value", "term").agg(F.countDistinct("key").alias("n_ct"), F.countDistinct("lane").alias("texts")).where(F.col("texts") >= SUPPORT)
     n_ct = materialize(n_ct.drop("texts"), "terms_near_entities")
-    terms = n_ct.select("term").distinct()
-    if not (many := terms.count()):
+    if not n_ct.limit(1).count():
         return n_ct.select("kind", "value", "term", F.lit(0.0).alias("share")).limit(0)
+    # the whole vocabulary is counted first and only then joined: no join ever sees the corpus word by word
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"))).alias("term"))
-    if many <= BROADCAST_TERMS:
-        n_t = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    else:
-        n_t = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "term", "left_semi")
+    n_t = materialize(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).where(F.col("n_t") >= SUPPORT), "vocabulary")
     weighed = n_ct.join(n_t, "term").join(n_c, n_ct["kind"].eqNullSafe(n_c["kind"]) & n_ct["value"].eqNullSafe(n_c["value"])).select(n_ct["kind"], n_ct["value"], "term", "n_ct", "n_t", "n_c")
     pmi = F.log2(F.col("n_ct") * F.lit(float(n)) / (F.col("n_c") * F.greatest("n_t", "n_ct").cast("double")))
     ic = F.log2(F.lit(float(n)) / F.col("n_c"))
@@ -170,7 +166,9 @@ def find(docs: DataFrame) -> DataFrame:
     )
     found = materialize(entities(marked), "pii_entities")
     more = added_spans(rows, found)
-    kept = marked.join(more, "key", "left").select("doc_id", "spans", F.coalesce("more", F.array().cast(_SPAN)).alias("more"))
+    none = F.array().cast(_SPAN)
+    joined = marked.where("key is not null").join(more, "key", "left").select("doc_id", "spans", F.coalesce("more", none).alias("more"))
+    kept = joined.unionByName(marked.where("key is null").select("doc_id", "spans", none.alias("more")))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
     return kept.select("doc_id", *map(count, KINDS), F.sha2(_join(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _join(F.array_sort(F.concat("spans", "more"))).alias("spans"), F.size("more").cast("long").alias("n_terms"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, language_id, media, mixing, pii, sharding, warc
+from . import fingerprints, jaccard_join, language_id, media, mixing, passages, pieces, pii, sharding, warc
 from .common import materialize, table
 
 SHARDS = 8
@@ -37,6 +37,14 @@ def op5_entropy_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op6_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
+
+
+def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a replica of the pages' WARC files in which every 97th record (by id, from 13) has a changed byte."""
     from pyspark.sql.functions import col
@@ -71,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_media_chunks": op4_media_chunks,
     "op5_entropy_balance": op5_entropy_balance,
+    "op6_merge_dropout": op6_merge_dropout,
+    "op8_compact_windows": op8_compact_windows,
     "op7_merkle_audit": op7_merkle_audit,
     "op9_order_minhash": op9_order_minhash,
     "op10_virtual_slots": op10_virtual_slots,
