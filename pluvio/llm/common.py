@@ -17,9 +17,16 @@ _M64 = (1 << 64) - 1
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Only the named columns of a table, so that other columns can't clash with an operator's own."""
+    bound_arrow_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def bound_arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole texts can be long: what a Python worker holds at once is kept to ``rows`` rows."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir); one of our own only where none is set, as in tests."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -34,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: lineage is cut and a lost executor loses nothing."""
+    bound_arrow_batches(df.sparkSession)
     path = f"{shared_dir(df.sparkSession)}/pluvio-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -33,7 +33,7 @@ from .common import batches, bitmap_of, in_bitmap, materialize, mix64, partition
 WIDTH, PERCENT, REACH = 5, 75, 0.25
 REGION, PIVOTS, DEPTH, TILE = 512, 16, 4, 256
 HOT, BITS = 32, 1 << 23
-CHUNK_SHINGLES = 1 << 20
+CHUNK_SHINGLES = 1 << 19
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -394,7 +394,7 @@ def join(docs: DataFrame) -> DataFrame:
     id of their component, null if there is none. Repeated rows link with each other. An empty table gives an empty result."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = max(16, partitions(spark))
+    buckets = max(16, 2 * partitions(spark))
     blobs = rows.mapInArrow(_blobs(buckets), _BLOBS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
     counts = materialize(blobs.mapInArrow(_shared_counts, "chunk string, counts binary, info binary, hot binary"), "shared_shingles")
     hot = bitmap_of(counts.where("hot is not null").select("hot").mapInArrow(_lanes, "lane long"), F.col("lane"), BITS)
