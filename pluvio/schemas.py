@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 _DDL = {
     "stations": "station_file_id string not null, station_folder string not null, station_file_name string not null, location_name string, grid_reference string, longitude double, latitude double, elevation_ft int, station_number string, source_path string not null",
@@ -31,4 +31,16 @@ _DDL = {
     "daily_national": "obs_date date, year int, n_stations_reporting bigint, mean_mm double, max_mm double, argmax_station_id string, argmax_location string, n_wet bigint, n_ge10 bigint, n_ge25 bigint, n_ge50 bigint",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType(), "smallint": T.ShortType(), "tinyint": T.ByteType(),
+    "date": T.DateType(), "boolean": T.BooleanType(), "array<double>": T.ArrayType(T.DoubleType()),
+}
+
+
+def _struct(ddl: str) -> T.StructType:
+    """A schema from ``name type [not null], ...``; unlike StructType.fromDDL it needs no session."""
+    fields = (f.split(" ", 2) for f in ddl.split(", "))
+    return T.StructType([T.StructField(f[0], _TYPES[f[1]], nullable=len(f) == 2) for f in fields])
+
+
+SCHEMAS: dict[str, T.StructType] = {name: _struct(ddl) for name, ddl in _DDL.items()}

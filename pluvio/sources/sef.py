@@ -62,7 +62,7 @@ def observations(files: DataFrame) -> DataFrame:
 def read(spark: SparkSession, root: str, *years: int) -> DataFrame:
     """Observations of the years given, or of all."""
     wanted = years or _years(spark, f"{root}/tsv")
-    return observations(spark.read.option("wholetext", "true").option("pathGlobFilter", "*.tsv").text([f"{root}/tsv/{y}" for y in wanted]))
+    return observations(spark.read.option("pathGlobFilter", "*.tsv").text([f"{root}/tsv/{y}" for y in wanted], wholetext=True))
 
 
 def for_frames(obs: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ _TEXT = StructType([StructField("value", StringType())])
 
 def page_stream(spark: SparkSession, root: str, files_per_trigger: int = 200) -> DataFrame:
     """source_path, file_name, content, grid and error of pages as they arrive."""
-    raw = spark.readStream.schema(_TEXT).option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_trigger).text(root)
+    raw = spark.readStream.schema(_TEXT).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_trigger).text(root, wholetext=True)
     files = raw.select(F.col("_metadata.file_path").alias("source_path"), text.without_suffix(F.col("_metadata.file_name")).alias("file_name"), F.col("value").alias("content"))
     return pages_json.parse(files)
 
