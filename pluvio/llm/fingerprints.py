@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import mapped, partitions
 from .order_minhash import SPARK_SCHEMA, compare_with_next
 
 
@@ -36,7 +36,7 @@ def fingerprint_documents(docs: DataFrame, buckets: int | None = None) -> DataFr
         .select("doc_id", "text", "key", F.explode(F.when(F.col("halo_of").isNull(), F.array(F.struct(F.col("bucket"), F.lit(0).alias("halo")))).otherwise(F.array(F.struct(F.col("bucket"), F.lit(0).alias("halo")), F.struct(F.col("halo_of").alias("bucket"), F.lit(1).alias("halo"))))).alias("to"))
     )
     dealt = placed.select(F.col("to.bucket").alias("bucket"), F.col("to.halo").alias("halo"), "doc_id", "text", "key").repartition(n, "bucket")
-    return dealt.sortWithinPartitions("bucket", "halo", "key", "text").drop("key").mapInArrow(compare_with_next, SPARK_SCHEMA)
+    return dealt.sortWithinPartitions("bucket", "halo", "key", "text").drop("key").transform(mapped, compare_with_next, SPARK_SCHEMA)
 
 
 def _search(name: str, cuts: list[int]) -> str:

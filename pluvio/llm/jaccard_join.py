@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import batches, bitmap_of, in_bitmap, materialize, mix64, partitions, shingle_hashes, word_hashes
+from .common import batches, bitmap_of, in_bitmap, mapped, materialize, mix64, partitions, shingle_hashes, word_hashes
 
 WIDTH, PERCENT, REACH = 5, 75, 0.25
 REGION, PIVOTS, DEPTH, TILE = 512, 16, 4, 256
@@ -395,16 +395,16 @@ def join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     buckets = max(16, 2 * partitions(spark))
-    blobs = rows.mapInArrow(_blobs(buckets), _BLOBS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    counts = materialize(blobs.mapInArrow(_shared_counts, "chunk string, counts binary, info binary, hot binary"), "shared_shingles")
-    hot = bitmap_of(counts.where("hot is not null").select("hot").mapInArrow(_lanes, "lane long"), F.col("lane"), BITS)
+    blobs = rows.transform(mapped, _blobs(buckets), _BLOBS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    counts = materialize(blobs.transform(mapped, _shared_counts, "chunk string, counts binary, info binary, hot binary"), "shared_shingles")
+    hot = bitmap_of(counts.where("hot is not null").select("hot").transform(mapped, _lanes, "lane long"), F.col("lane"), BITS)
     by_chunk = counts.select("chunk", "counts", "info").repartition(buckets, "chunk").sortWithinPartitions("chunk")
-    nodes = materialize(by_chunk.mapInArrow(_nodes, _NODES), "nodes")
+    nodes = materialize(by_chunk.transform(mapped, _nodes, _NODES), "nodes")
     classes = materialize(nodes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.max("near").alias("near")), "classes")
 
     near = classes.where("near").select("class", "least", "copies", "n")
     wanted = bitmap_of(near, F.coalesce("least", F.lit(-1)), BITS)
-    texts = rows.mapInArrow(_sets(wanted, hot), "class binary, doc_id long, shingles binary, prefix array<long>")
+    texts = rows.transform(mapped, _sets(wanted, hot), "class binary, doc_id long, shingles binary, prefix array<long>")
     exact = (texts["class"] == near["class"]) & texts["doc_id"].eqNullSafe(near["least"])
     sets = materialize(texts.join(near, exact).select(texts["class"], "copies", "n", "shingles", "prefix").dropDuplicates(["class"]), "sets")
 
@@ -433,7 +433,7 @@ def join(docs: DataFrame) -> DataFrame:
     tasks = tiles(ready).select(F.xxhash64("region", "cell", "task.a", "task.b").alias("task"), "region", "class", "home", F.col("task.a").alias("a"), F.col("task.b").alias("b"), "tile")
     full = tasks.join(pivots, "class").join(sets.select("class", "copies", "shingles"), "class")
     dealt = full.select("task", "region", "class", "home", "a", "b", "tile", "pivots", "copies", "shingles").repartition(buckets, "task").sortWithinPartitions("task", "class")
-    found = materialize(dealt.mapInArrow(_join_cells, _JOINED), "links")
+    found = materialize(dealt.transform(mapped, _join_cells, _JOINED), "links")
 
     roots = components(found.where("other is not null").select(F.col("class").alias("u"), F.col("other").alias("v")))
     links = found.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))

@@ -14,9 +14,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, random_lanes
+from .common import batches, mapped, random_lanes
 
-DIMENSIONS, LETTER_BITS, SEED = 1024, 7, 5
+DIMENSIONS, LETTER_BITS, SEED = 1024, 6, 5
 UNKNOWN = "und"
 _LETTERS = 1 << LETTER_BITS
 _BATCH_BYTES = 1 << 20
@@ -43,7 +43,7 @@ def letter_vectors() -> np.ndarray:
 
 
 def trigram_vectors(codes: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """permute(permute(a)) * permute(b) * c for codes a << 14 | b << 7 | c; the permutation is a rotation."""
+    """permute(permute(a)) * permute(b) * c for codes a << 12 | b << 6 | c; the permutation is a rotation."""
     a, b, c = codes >> 2 * LETTER_BITS, codes >> LETTER_BITS & _LETTERS - 1, codes & _LETTERS - 1
     return np.roll(letters, 2, axis=1)[a] * np.roll(letters, 1, axis=1)[b] * letters[c]
 
@@ -88,8 +88,8 @@ def _count_training(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = sorted(set(langs))
         which = np.array([names.index(x) for x in langs])[row]
         for i, name in enumerate(names):
-            own = np.bincount(codes[which == i], minlength=1 << 3 * LETTER_BITS).astype(np.int32)
-            sums[name] = sums[name] + own if name in sums else own.astype(np.int64)
+            own = np.bincount(codes[which == i], minlength=1 << 3 * LETTER_BITS)
+            sums[name] = sums[name] + own if name in sums else own
     for name, counts in sums.items():
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["lang", "code", "n"])
@@ -98,9 +98,9 @@ def _count_training(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, held_out: Column) -> tuple[list[str], np.ndarray]:
     """The languages and their prototypes, of unit length.
 
-    What comes to the driver is the trigram counts of each language: 2 ** 21 codes a language at most, and languages are few."""
+    What comes to the driver is the trigram counts of each language: 2 ** 18 codes a language at most, and languages are few."""
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out).select("text", "lang")
-    counts = rows.mapInArrow(_count_training, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
+    counts = rows.transform(mapped, _count_training, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(counts["lang"].to_pylist()))
     if not langs:
         return [], np.zeros((0, DIMENSIONS), np.float32)
@@ -140,7 +140,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *keep: str) ->
                     scores[i] = min(1.0, max(0.0, float(cosine[i, best[i]])))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names), pa.array(scores, pa.float64())], names=[f.name for f in schema])
 
-    return docs.select(*keep, F.col("text").alias("_text_of_row")).mapInArrow(run, schema)
+    return docs.select(*keep, F.col("text").alias("_text_of_row")).transform(mapped, run, schema)
 
 
 def fold(doc_id: Column) -> Column:

@@ -95,9 +95,10 @@ def solve_tilts(histogram: DataFrame, goals: DataFrame, cap: float = CAP) -> Dat
     return state.select("source_key", "source_size", "n_docs", "target", "tilt")
 
 
-def round_copies(rated: DataFrame) -> DataFrame:
+def round_copies(rated: DataFrame, cap: float = CAP) -> DataFrame:
     """Whole copies for rates: within a bucket of about 256 documents of a source, from the longest to the shortest, a
-    document gets the rate's floor or ceiling, whichever brings the bucket's words nearer to what was expected so far."""
+    document gets as many copies (``cap`` at most) as bring the bucket's words nearest to what was expected so far. Long documents
+    decide first, so what is left over at the end is about half the size of a short one."""
     bucket = F.pmod(F.col("lane"), F.ceil(F.col("n_docs") / BUCKET_DOCS))
     item = F.struct((-F.col("size")).alias("order"), "doc_id", "lane", "size", "rate")
     groups = rated.groupBy("source_key", "source_size", "target", bucket.alias("bucket")).agg(F.array_sort(F.collect_list(item)).alias("items"))
@@ -107,7 +108,7 @@ def round_copies(rated: DataFrame) -> DataFrame:
         words = x["size"].cast("double")
         owed = s["owed"] + F.round(x["rate"] * words * 1024) / 1024
         fit = F.when(x["size"] == 0, 0.0).otherwise(F.floor(owed / F.greatest(words, F.lit(1.0)) + 0.5))
-        copies = F.least(F.greatest(fit, F.floor(x["rate"])), F.ceil(x["rate"])).cast("int")
+        copies = F.least(F.greatest(fit, F.lit(0.0)), F.lit(cap)).cast("int")
         return F.struct((owed - copies * words).alias("owed"), F.concat(s["copies"], F.array(copies)).alias("copies"))
 
     copies = F.aggregate("items", start, step, lambda s: s["copies"])
@@ -128,4 +129,4 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, total: float = TOTA
     histogram = materialize(rows.groupBy("source_key", "size").agg(F.count(F.lit(1)).alias("n")), "sizes_by_source")
     tilts = solve_tilts(histogram, materialize(targets(histogram, weights, total, cap), "targets"), cap)
     rated = rows.join(tilts, "source_key").withColumn("rate", F.when(F.col("target") <= 0, 0.0).otherwise(rate_of(F.col("tilt"), F.col("size").cast("double"), cap)))
-    return round_copies(rated)
+    return round_copies(rated, cap)

@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, mix64
+from .common import batches, mapped, mix64
 
 SPACE = "▁"
 DROPOUT, VARIANTS, SEED = 0.1, 4, 17
-CACHE_WORDS, LONG_WORD = 400_000, 40
+CACHE_WORDS, LONG_WORD = 160_000, 40
 _NONE = np.int32(2**31 - 1)
 _MULTIPLE_SPACES = re.compile(" +[^ ]+| +$")
 
@@ -281,4 +281,4 @@ def encode_documents(docs: DataFrame, path: str | None = None, rate: float = DRO
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
 
     schema = "doc_id long, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(mapped, run, schema)

@@ -47,16 +47,13 @@ def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits a replica of the pages' WARC files in which every 97th record (by id, from 13) has a changed byte."""
-    from pyspark.sql.functions import col
-
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    leaves = materialize(warc.lay_out(pages), "leaves")
-    damaged = F.pmod(col("page_id"), F.lit(97)) == 13
-    replica = leaves.withColumn("digest", F.when(damaged, F.sha2(F.concat(F.lit("damaged:"), "digest").cast("binary"), 256)).otherwise(col("digest")))
+    both = materialize(warc.lay_out(pages, damaged=F.pmod(F.col("page_id"), F.lit(97)) == 13), "leaves")
+    leaves, replica = both.drop("replica_digest"), both.drop("digest").withColumnRenamed("replica_digest", "digest")
     mine, theirs = materialize(warc.tree(leaves), "tree"), materialize(warc.tree(replica), "replica_tree")
     found = warc.audit(mine, theirs).select("file", "place", F.lit(True).alias("hit"))
     out = leaves.join(found, ["file", "place"], "left")
-    return out.select("page_id", "length", col("digest").alias("record_sha256"), F.coalesce("hit", F.lit(False)).alias("corrupt"))
+    return out.select("page_id", "length", F.col("digest").alias("record_sha256"), F.coalesce("hit", F.lit(False)).alias("corrupt"))
 
 
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

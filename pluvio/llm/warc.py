@@ -7,14 +7,14 @@ differ are looked at, so an audit reads a path for each damaged record and nothi
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import mapped, materialize
 
 FANOUT = 16
 FILE_BYTES = 8 << 20  # records of a file, about
@@ -46,22 +46,49 @@ def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         at = end + 4 + n + 4
 
 
-def lay_out(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """file, place, offset, length, page_id, record: pages as records of files, in order of a hash of the id.
+def lay_out(pages: DataFrame, file_bytes: int = FILE_BYTES, damaged: Column | None = None) -> DataFrame:
+    """file, place, offset, length, page_id, digest: pages as records of files, in order of their ids.
 
-    The number of files follows the bytes; a record's offset is the sum of the lengths before it in its file. Null html is an
-    empty block; rows with equal ids are ordered by their record."""
+    A record's file is a hash of its id and digest, the number of files follows the bytes, and its offset is the sum of the lengths
+    before it in the file. Null html is an empty block; rows with equal ids are ordered by digest. With ``damaged``, also
+    ``replica_digest``: that of a copy in which one byte in the middle of the damaged records is another."""
     records = pages.select(F.col("page_id").cast("long").alias("page_id"), record_bytes(F.col("url"), F.col("page_id"), F.col("html")).alias("record"))
-    sized = records.withColumn("length", F.octet_length("record").cast("long"))
     total = pages.select(F.coalesce(F.sum(F.octet_length("html").cast("long") + 300), F.lit(0))).first()[0]
     files = max(1, -(-total // file_bytes))
+    extra = []
+    if damaged is not None:
+        middle = (F.octet_length("record") / 2).cast("int") + 1
+        copy = F.concat(F.substring("record", 1, middle - 1), F.unhex(F.lit("00")), F.substring("record", middle + 1, F.octet_length("record")))
+        extra = [F.when(F.coalesce(damaged, F.lit(False)), F.sha2(copy, 256)).otherwise(F.sha2("record", 256)).alias("replica_digest")]
+    hashed = records.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"), *extra)
     order = Window.partitionBy("file").orderBy("page_id", "digest")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        sized.withColumn("digest", F.sha2("record", 256))
-        .withColumn("file", F.pmod(F.xxhash64("page_id", "digest"), F.lit(files)).cast("int"))
-        .select("file", "page_id", "length", "digest", (F.row_number().over(order) - 1).cast("long").alias("place"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
-    )
+    placed = hashed.withColumn("file", F.pmod(F.xxhash64("page_id", "digest"), F.lit(files)).cast("int"))
+    return placed.select("file", "page_id", "length", "digest", *(["replica_digest"] if extra else []), (F.row_number().over(order) - 1).cast("long").alias("place"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
+
+
+def write_files(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
+    """WARC files, a folder for each: a record is a row of text, and the line end that the writer adds is the record's last."""
+    records = pages.select(F.col("page_id").cast("long").alias("page_id"), record_bytes(F.col("url"), F.col("page_id"), F.col("html")).alias("record"))
+    total = pages.select(F.coalesce(F.sum(F.octet_length("html").cast("long") + 300), F.lit(0))).first()[0]
+    files = max(1, -(-total // file_bytes))
+    placed = records.withColumn("digest", F.sha2("record", 256)).withColumn("file", F.pmod(F.xxhash64("page_id", "digest"), F.lit(files)).cast("int"))
+    text = F.expr("decode(substring(record, 1, octet_length(record) - 2), 'UTF-8')").alias("value")
+    placed.repartition(files, "file").sortWithinPartitions("file", "page_id", "digest").select("file", text).write.partitionBy("file").option("lineSep", "\r\n").text(path)
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, url, html and the place of every record of the WARC files below a path. A file is parsed in one task."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows = [(name, at, int(h["WARC-Record-ID"][10:-1]) if h["WARC-Record-ID"] != "<urn:page:none>" else None, h["WARC-Target-URI"], block.decode("utf-8")) for at, h, block in parse_records(data)]
+                cols = list(zip(*rows)) if rows else [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["path", "offset", "page_id", "url", "html"])
+
+    return found.select("path", "content").transform(mapped, run, "path string, offset long, page_id long, url string, html string")
 
 
 def tree(leaves: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -105,6 +132,3 @@ def audit(mine: DataFrame, theirs: DataFrame, fanout: int = FANOUT) -> DataFrame
         suspects = differ.select("file", F.col("node").alias("up"))
     return differ.select("file", F.col("node").alias("place"), "mine", "theirs")
 
-
-def digest_of(record: bytes) -> str:
-    return hashlib.sha256(record).hexdigest()
