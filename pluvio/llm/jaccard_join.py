@@ -440,5 +440,6 @@ def join(docs: DataFrame) -> DataFrame:
     placed = classes.select("class", "least", "copies").join(roots.withColumnRenamed("u", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = placed.join(least, "root").join(links, "class", "left").select("class", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    by_class = materialize(by_class, "class_components")  # then a class of many copies can be split in the join
     linked = nodes.where("n_shingles > 0").join(by_class, "class").select("doc_id", "n_shingles", "component_id", "n_links", "class")
     return linked.unionByName(nodes.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), "class"))
