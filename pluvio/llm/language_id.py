@@ -92,7 +92,7 @@ def _count_training(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums[name] = sums[name] + own if name in sums else own
     for name, counts in sums.items():
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["lang", "code", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["lang", "code", "n"])
 
 
 def train(docs: DataFrame, held_out: Column) -> tuple[list[str], np.ndarray]:
@@ -138,7 +138,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *keep: str) ->
                 for i in np.flatnonzero(has):
                     names[i] = langs[best[i]]
                     scores[i] = min(1.0, max(0.0, float(cosine[i, best[i]])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names), pa.array(scores, pa.float64())], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in schema])
 
     return docs.select(*keep, F.col("text").alias("_text_of_row")).transform(mapped, run, schema)
 

@@ -222,7 +222,7 @@ class Pieces:
 
 def words_of(text: str) -> list[str]:
     """A text's words without the space before each; one of several spaces keeps the rest of them."""
-    if "  " not in text and text[-1:] != " ":
+    if "  " not in text and text[:1] != " " and text[-1:] != " ":
         return text.split(" ") if text else []
     return [w[1:] for w in _MULTIPLE_SPACES.findall(" " + text)]
 
