@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import portable
+
 SKIPPED_PREFIXES = ("TYRain_", "ERROR_", "MISFILED_")
 MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
 PARSED = (
@@ -83,7 +85,7 @@ def discover(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
-    return discover(spark, root).mapInPandas(_parse_files, PARSED)
+    return discover(spark, root).mapInPandas(portable(_parse_files), PARSED)
 
 
 def tables(parsed: DataFrame) -> dict[str, DataFrame]:
