@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workers import portable
+
 _M64 = (1 << 64) - 1
 
 
@@ -68,7 +70,7 @@ def mapped(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         finally:
             release_memory()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(portable(run), schema)
 
 
 def partitions(spark: SparkSession) -> int:

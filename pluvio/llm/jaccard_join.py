@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..workers import portable
 from .common import batches, bitmap_of, in_bitmap, mapped, materialize, mix64, partitions, shingle_hashes, word_hashes
 
 WIDTH, PERCENT, REACH = 5, 75, 0.25
@@ -300,7 +301,7 @@ def part_cells(large: DataFrame, sets: DataFrame) -> DataFrame:
     right = everywhere.select("region", "cell", "part", "class", "pivot").join(sets.select("class", "shingles"), "class")
     key = ["region", "cell", "part"]
     left, right = (x.toDF(*x.columns) for x in (left, right))  # fresh names: both sides come from the same tables
-    return left.groupBy(*key).cogroup(right.select(*(F.col(c).alias(c) for c in right.columns)).groupBy(*key)).applyInPandas(_part, "region binary, cell string, class binary, home boolean")
+    return left.groupBy(*key).cogroup(right.select(*(F.col(c).alias(c) for c in right.columns)).groupBy(*key)).applyInPandas(portable(_part), "region binary, cell string, class binary, home boolean")
 
 
 def tiles(rows: DataFrame) -> DataFrame:
