@@ -101,3 +101,12 @@ def verdict_counts(obs: DataFrame) -> DataFrame:
 
 def parse_summary(obs: DataFrame) -> DataFrame:
     return obs.groupBy("year").agg(F.count(F.lit(1)).alias("n_observations"), F.count_if("passed").alias("n_passed"), F.count_distinct("station_id").alias("n_stations"), F.count_distinct("obs_date").alias("n_days"))
+
+
+def events_in_range(annual_rows: DataFrame, events: list[tuple[str, str, str]]) -> DataFrame:
+    """Known events (date, kind, label) whose year lies within the loaded ones, with that year's total."""
+    spark = annual_rows.sparkSession
+    table = spark.createDataFrame(events, "date string, kind string, label string").withColumn("event_date", F.to_date("date"))
+    span = annual_rows.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+    kept = table.withColumn("year", F.year("event_date")).join(F.broadcast(span), F.col("year").between(F.col("lo"), F.col("hi")))
+    return kept.join(annual_rows.select("year", "annual_total_mm"), "year", "left").select("event_date", "year", "kind", "label", "annual_total_mm")

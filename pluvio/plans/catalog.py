@@ -592,3 +592,61 @@ def verdict_ladder(spark, sf):
     q1 = F.when(k % 4 == 0, "pass").when(k % 4 == 1, "review").when(k % 4 == 2, "fail")
     q2 = F.when(k % 5 == 0, "pass").when(k % 5 == 1, "indeterminate").when(k % 5 == 2, "fail")
     return a.star(spark, sf, "orders", "o_orderkey").select("o_orderkey", qc.trust_rank(q1, q2).alias("rank"), qc.trusted(q1, q2).alias("trusted"))
+
+
+_EVENTS = [("1994-01-02", "flood", "before the record"), ("1996-03-04", "flood", "spring"), ("1999-08-15", "drought", "summer")]
+
+
+@query(V("obs").rstrip() + _DAILY + """, t as (select year::int as year, sum(mean_mm) total from nat group by 1), e as (select * from (values (date '1994-01-02', 'flood', 'before the record'), (date '1996-03-04', 'flood', 'spring'), (date '1999-08-15', 'drought', 'summer')) v(event_date, kind, label))
+    select event_date, year(event_date)::int as year, kind, label, round(total, 4) annual_total_mm from e left join t on t.year = year(event_date) where year(event_date) between (select min(year) from t) and (select max(year) from t)""")
+def events_of_the_record(spark, sf):
+    years = analysis.annual(analysis.daily_national(a.observations(spark, sf)))
+    return analysis.events_in_range(years, _EVENTS).withColumn("annual_total_mm", _r("annual_total_mm", 4))
+
+
+@query("select o_orderkey, o_totalprice from orders where o_totalprice between 1000 and 20000 and o_orderpriority = '1-URGENT'")
+def bound_parameters(spark, sf):
+    o = a.star(spark, sf, "orders")
+    return spark.sql("select o_orderkey, o_totalprice from {o} where o_totalprice between :low and :high and o_orderpriority = :priority", args={"low": 1000, "high": 20000, "priority": "1-URGENT"}, o=o)
+
+
+@query("select p_partkey, p_name from part where p_name like 'large%' or p_type like '%CONOM%'")
+def name_patterns(spark, sf):
+    p = a.star(spark, sf, "part")
+    return p.where(F.col("p_name").like("large%") | F.col("p_type").contains("CONOM")).select("p_partkey", "p_name")
+
+
+@query(V("vec") + "select station_file_id || '::' || year rr_vector_id, round(list_sum(raw), 4) total from vec")
+def vectors_through_json(spark, sf):
+    """Vectors at the compatibility edge: written as JSON text and read back."""
+    v = vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)).select("rr_vector_id", F.to_json("raw_vector").alias("raw_vector_json"))
+    back = F.from_json("raw_vector_json", "array<double>")
+    return v.select("rr_vector_id", F.round(F.aggregate(back, F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
+
+
+@query("select k, max(n) filter (where t = 'new') is not null replaced, arg_max(n, t = 'new') n from (select s_suppkey k, s_nationkey n, 'old' t from supplier union all select s_suppkey, s_nationkey + 100, 'new' from supplier where s_suppkey % 3 = 0) group by 1")
+def upsert(spark, sf):
+    """Rows replaced by key: those of the new table win, the others stay."""
+    old = a.star(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("n"))
+    new = old.where("k % 3 = 0").withColumn("n", F.col("n") + 100)
+    return old.join(new.select("k"), "k", "left_anti").withColumn("replaced", F.lit(False)).unionByName(new.withColumn("replaced", F.lit(True)))
+
+
+@query("select i frame from range(0, 40) t(i) where i % 7 <> 3")
+def missing_frames(spark, sf):
+    expected = spark.range(40).select(F.col("id").alias("frame"), F.format_string("frame_%07d.png", "id").alias("name"))
+    return frames.missing(expected, expected.where("frame % 7 = 3")).select("frame")
+
+
+@query("select l_suppkey, round(list_sort(list(l_quantity))[ceil(0.98 * count(*))::int], 6) ceiling from lineitem where l_suppkey = 1 group by 1")
+def colour_ceiling(spark, sf):
+    line = a.star(spark, sf, "lineitem", "l_suppkey", "l_quantity").where("l_suppkey = 1")
+    return lookups.colour_ceiling(line, "l_quantity").select(F.lit(1).cast("bigint").alias("l_suppkey"), _r("ceiling").alias("ceiling"))
+
+
+@query("select p_brand, p_size, count(*) n from part group by 1, 2 having count(*) > 1 union all select 'total', null, count(*) from part")
+def duplicate_keys(spark, sf):
+    """Keys that occur more than once, and the rows in all: a uniqueness check."""
+    p = a.star(spark, sf, "part")
+    twice = p.groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return twice.unionByName(p.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("p_brand"), F.lit(None).cast("int").alias("p_size"), "n"))
