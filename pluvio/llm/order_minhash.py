@@ -92,8 +92,9 @@ def fingerprint(text: str | None, k: int = K, functions: int = FUNCTIONS, size:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """The share of functions whose tuples agree; two empty texts are alike."""
-    return float(np.mean(a == b))
+    """The TUPLE-th root of the share of functions whose tuples agree, since all k-mers of a tuple must be common and in order:
+    an estimate of the texts' common share, 1 for equal texts, two empty ones included."""
+    return float(np.mean(a == b)) ** (1 / TUPLE)
 
 
 def to_text(f: np.ndarray) -> str:

@@ -87,7 +87,17 @@ _RECORD = """encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: resource',
   '>', chr(13), chr(10), 'WARC-Date: 1970-01-01T00:00:00Z', chr(13), chr(10), 'WARC-Target-URI: ', regexp_replace(coalesce(url, ''), '[\\r\\n]', ' ', 'g'), chr(13), chr(10),
   'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', cast(strlen(coalesce(html, '')) as varchar), chr(13), chr(10), chr(13), chr(10), coalesce(html, ''), chr(13), chr(10), chr(13), chr(10)))"""
 
+_JACCARD = r"""
+    with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+    s as (select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) end s from w),
+    n as (select doc_id, len(s)::bigint n from s), x as (select doc_id, unnest(s) k from s),
+    p as (select a.doc_id a, b.doc_id b, count(*) c from x a join x b on a.k = b.k and a.doc_id <> b.doc_id group by 1, 2),
+    l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 75 * (na.n + nb.n - c)),
+    reach as (select doc_id a, doc_id b from n union select r.a, l.b from reach r join l on l.a = r.b)
+    select n.doc_id, n.n n_shingles, m.component_id, coalesce(k.n_links, 0) n_links from n join (select a, min(b) component_id from reach group by 1) m on m.a = n.doc_id left join (select a, count(*) n_links from l group by 1) k on k.a = n.doc_id"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_jaccard": _JACCARD,
     "op7_merkle_audit": f"""
         select page_id, octet_length(record) as length, sha256(record) as record_sha256, coalesce(page_id % 97 = 13, false) as corrupt
         from (select page_id, {_RECORD} as record from pages)""",

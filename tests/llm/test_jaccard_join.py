@@ -48,3 +48,12 @@ def test_threshold_is_inclusive(spark):
     word = [f"w{i}" for i in range(20)]
     rows = [(1, " ".join(word[:11])), (2, " ".join(word[:12] + ["z"])), (3, " ".join(word[:16])), (4, " ".join(word[4:16]))]  # 7 and 8 of 9; 12 and 8 of 12
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_same_as_sql(spark):
+    import compare
+
+    from pluvio.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    assert compare.difference(queries.op1_ngram_jaccard(spark, sf), compare.oracle(sf), queries.ORACLE_SQL["op1_ngram_jaccard"]) == ""
