@@ -14,15 +14,14 @@ HEADER_LINES = 12
 def write(docs: DataFrame, root: str) -> None:
     """One file a station-year: ``<root>/tsv/<year>/<station_id>.tsv``. ``docs``: year, station_id, content.
 
-    Years that occur are cleared first, then each partition writes its files through the Hadoop file system, under a name of
-    its own that is renamed at the end, so a task that runs twice leaves one file."""
+    The texts are written by Spark's committer, in a folder for each file, and then moved to their names; a task that runs twice
+    leaves one file. Years that occur are cleared before. The moves are the driver's: one a station-year, metadata only."""
     spark = docs.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for (year,) in docs.select("year").distinct().collect():  # some hundred years at most
         p = jvm.org.apache.hadoop.fs.Path(f"{root}/tsv/{year}")
         p.getFileSystem(conf).delete(p, True)
     staged = f"{root}/_staged"
-    # a text partition for each (year, station) keeps names in the path; a rename then drops the part file's own name
     docs.select("content", "year", "station_id").write.mode("overwrite").partitionBy("year", "station_id").option("lineSep", "\n").text(staged)
     src = jvm.org.apache.hadoop.fs.Path(staged)
     fs = src.getFileSystem(conf)
@@ -44,7 +43,6 @@ def observations(files: DataFrame) -> DataFrame:
     """The ``observations`` table from files' whole text (column ``value``). Files without position, lines with fewer than eight fields
     and impossible dates are left out; NA is null."""
     lines = F.split("value", "\n")
-    # entries of the head may repeat no name; Meta occurs once in it
     head = F.map_from_entries(F.transform(F.slice(lines, 1, HEADER_LINES), lambda s: F.struct(F.element_at(F.split(s, "\t", 2), 1), F.coalesce(F.get(F.split(s, "\t", 2), F.lit(1)), F.lit("")))))
     rows = files.where(F.size(lines) > HEADER_LINES + 1).select(head.alias("head"), F.explode(F.slice(lines, HEADER_LINES + 2, F.size(lines))).alias("line")).withColumn("f", F.split("line", "\t")).where(F.size("f") >= 8)
     named = lambda k: F.element_at("head", k)
