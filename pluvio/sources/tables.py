@@ -78,3 +78,9 @@ def write_manifest(spark: SparkSession, path: str, facts: dict) -> None:
 
 def read_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads("\n".join(r.value for r in spark.read.text(path).collect()))
+
+
+def newest_sessions(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows of the newest combination of session columns, the first column first."""
+    newest = df.agg(F.max(F.struct(*columns)).alias("s")).select("s.*")
+    return df.join(F.broadcast(newest), list(columns), "left_semi")
