@@ -19,7 +19,6 @@ Cells return link counts and a spanning forest, never their pairs; large-star an
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,7 +76,7 @@ _BLOBS = "bucket int, chunk string, classes binary, at binary, keys binary, know
 def _blobs(buckets: int):
     """Map side: a chunk's shingles, each once, dealt to buckets by hash. Those of two classes here are known to be shared."""
 
-    def emit(ids: list, sets: list[np.ndarray], names: list[bytes], owner: list[int]) -> pa.RecordBatch:
+    def emit(ids: list, sets: list[np.ndarray], names: list[bytes], owner: list[int], chunk: str) -> pa.RecordBatch:
         n = np.array([len(s) for s in sets], np.int64)
         h = np.concatenate(sets)
         order = np.argsort(h)
@@ -94,7 +93,6 @@ def _blobs(buckets: int):
 
         info = pickle.dumps((ids, owner, names, n.tolist(), local.tolist()))
         small = b"".join(x[:4] for x in names)
-        chunk = uuid.uuid4().hex
         rows = [
             (b, chunk, small, one_at[i:j].tobytes(), _pack(one[i:j]), _pack(more[k:m]), more_n[k:m].tobytes(), info if b == 0 else None)
             for b, (i, j, k, m) in enumerate(zip(cut, cut[1:], cut_more, cut_more[1:]))
@@ -103,6 +101,10 @@ def _blobs(buckets: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in _BLOBS.split(", ")])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        # a chunk is named by its partition and number, so that a task that runs again sends the same ones
+        partition, made = TaskContext.get().partitionId(), 0
         ids, sets, owner, where, total = [], [], [], {}, 0
         for batch in it:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -115,10 +117,11 @@ def _blobs(buckets: int):
                 ids.append(doc_id)
                 owner.append(where[name])
                 if total >= CHUNK_SHINGLES or len(ids) >= 60000:
-                    yield emit(ids, sets, list(where), owner)
+                    yield emit(ids, sets, list(where), owner, f"{partition}:{made}")
+                    made += 1
                     ids, sets, owner, where, total = [], [], [], {}, 0
         if ids:
-            yield emit(ids, sets, list(where), owner)
+            yield emit(ids, sets, list(where), owner, f"{partition}:{made}")
 
     return run
 
