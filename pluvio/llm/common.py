@@ -42,11 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage is cut and a lost executor loses nothing."""
-    bound_arrow_batches(df.sparkSession)
-    path = f"{shared_dir(df.sparkSession)}/pluvio-{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes ``df`` to the shared folder and reads it back: lineage is cut and a lost executor loses nothing.
+
+    The table goes when the application ends; results may read it until then."""
+    spark = df.sparkSession
+    bound_arrow_batches(spark)
+    folder = f"{shared_dir(spark)}/pluvio-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
 def release_memory() -> None:
