@@ -170,7 +170,9 @@ _MATCH = """,
 
 def _matches(spark, sf) -> DataFrame:
     totals, files = a.member_months(spark, sf), a.pages(spark, sf)
-    return match.top_k(vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)), k=3, min_overlap=6)
+    # the match reads its inputs several times; the chain stores them as tables, here they are kept
+    members, page_vectors, stations = (d.persist() for d in (vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf))))
+    return match.top_k(members, page_vectors, stations, k=3, min_overlap=6)
 
 
 @query(V("pmm", "vec").rstrip() + _MATCH + "select e.file_id, max(exact) as exact, any_value(overlap) overlap_months from ex e join ov using (file_id) where overlap >= 6 group by 1")
