@@ -13,15 +13,17 @@ from pluvio.llm import jaccard_join, language_id, mixing, pieces, pii
 from pluvio.llm.common import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_SCORE = 0.1  # cosine with the nearest language; prose of any learned language lies far above
+LEAST_SCORE = 0.1  # cosine with the nearest language: three times the noise of DIMENSIONS, 1 / sqrt(1024), which is what no resemblance comes to
+# One trigram of n different ones turns a text by 1 / sqrt(n): with fewer than these, a clean text that misses the common trigrams can lie below LEAST_SCORE
+LEAST_TRIGRAMS = round(1 / LEAST_SCORE**2)
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled rows and drops what has no letter or resembles no language; ``lang`` is filled in where it is null."""
+    """Learns from the labelled rows and drops what has no letter, or has LEAST_TRIGRAMS and resembles no language; ``lang`` is filled in where it is null."""
     docs = docs.select(*COLUMNS)
     model = language_id.train(docs, F.lit(False))
-    told = language_id.predict(docs, model, *COLUMNS)
-    kept = told.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    told = language_id.predict(docs, model, *COLUMNS, evidence=True)
+    kept = told.where((F.col("lang_pred") != language_id.UNKNOWN) & ((F.col("score") >= LEAST_SCORE) | (F.col("n_trigrams") < LEAST_TRIGRAMS)))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 

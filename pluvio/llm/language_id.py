@@ -116,29 +116,34 @@ def train(docs: DataFrame, held_out: Column) -> tuple[list[str], np.ndarray]:
     return langs, prototypes.astype(np.float32)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *keep: str) -> DataFrame:
-    """lang_pred and score beside the columns ``keep``. Reads the text and nothing else.
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *keep: str, evidence: bool = False) -> DataFrame:
+    """lang_pred and score beside the columns ``keep``; with ``evidence`` also n_trigrams, the different ones of the text. Reads the text and nothing else.
 
     score is the cosine, 0 at least, and 0 for ``und``. ``und``: the text is null or has no letter, or nothing was learned.
     Equal cosines: the first language by code point."""
     langs, prototypes = model
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
+    if evidence:
+        schema = schema.add("n_trigrams", "long")
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_vectors()
         for batch in batches(it, _BATCH_BYTES, "_text_of_row"):
             texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            seen = np.zeros(len(texts), np.int64)
             codes, row, has = trigram_codes(texts)
             if langs and len(codes):
                 distinct, counts = counted(codes, row, len(texts))
+                if evidence:
+                    seen = np.count_nonzero(counts, axis=1)
                 bundle = counts @ trigram_vectors(distinct, letters).astype(np.float32)
                 cosine = (bundle @ prototypes.T) / np.maximum(np.linalg.norm(bundle, axis=1, keepdims=True), 1e-6)
                 best = cosine.argmax(axis=1)
                 for i in np.flatnonzero(has):
                     names[i] = langs[best[i]]
                     scores[i] = min(1.0, max(0.0, float(cosine[i, best[i]])))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), *([pa.array(seen, pa.int64())] if evidence else [])], names=[f.name for f in schema])
 
     return docs.select(*keep, F.col("text").alias("_text_of_row")).transform(mapped, run, schema)
 

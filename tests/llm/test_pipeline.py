@@ -63,3 +63,12 @@ def test_run(spark):
     assert out.count() > 0 and out.where("not lossless").count() == 0
     assert out.where(F.size("ids") != F.col("n_pieces")).count() == 0
     assert [n for n, _ in p.STAGES] == ["language_id", "near_duplicates", "pii", "mixing", "pieces"] and pieces.DROPOUT > 0
+
+
+def test_language_stage_keeps_short_labelled_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    letters = docs.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
+    kept = p.keep_known_languages(spark, docs, SF)
+    assert letters.join(kept, "doc_id", "left_anti").count() == 0 and letters.count() >= 900
+    junk = spark.createDataFrame([(-1, "".join(chr(0x4E00 + i * 37 % 5000) for i in range(4000)), None, "s", 4000)], kept.schema)
+    assert p.keep_known_languages(spark, docs.select(*p.COLUMNS).unionByName(junk), SF).where("doc_id = -1").count() == 0
