@@ -22,7 +22,7 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WORTH = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-WINDOW = 64  # code points on either side of an entity
+WINDOW = 64  # code points on either side of an entity in which a term is evidence
 GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 2  # shares of IC; distinct texts in which t stands near c
 TERM = r"\p{L}{3,}"
 
@@ -139,18 +139,37 @@ def prepare(docs: DataFrame) -> DataFrame:
     return based.withColumn("lane", F.when(has, F.xxhash64("text"))).withColumn("key", F.when(has, F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5(F.col("text").cast("binary")))))
 
 
-def added_spans(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """key and ``more``: the spans of disclosing terms, each once, with kind term (generalised) or drop (removed)."""
+def _told_in(text: Column, told: Column, spans: Column) -> Column:
+    """The spans of a text's terms that are keys of ``told`` (term to share), but for those inside base spans."""
+    terms = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    pairs = F.zip_with(terms, F.slice(F.split(text, TERM, -1), 1, F.size(terms)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        begin = s["at"] + F.char_length(x["g"])
+        end = begin + F.char_length(x["m"])
+        share = F.try_element_at(told, F.lower(x["m"]))
+        kind = F.when(share >= REMOVE, F.lit("drop")).otherwise(F.lit("term"))
+        span = F.struct(begin.alias("start"), F.lit(len(KINDS)).alias("rank"), end.alias("end"), kind.alias("kind"), F.lit(None).cast("string").alias("value"))
+        return F.struct(end.alias("at"), F.when(share.isNotNull(), F.concat(s["out"], F.array(span))).otherwise(s["out"]).alias("out"))
+
+    found = F.aggregate(pairs, start, step, lambda s: s["out"])
+    return F.filter(found, lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+
+
+def added_spans(rows: DataFrame, marked: DataFrame, found: DataFrame) -> DataFrame:
+    """key and ``more``: the spans of disclosing terms, each once, with kind term (generalised) or drop (removed).
+
+    A term that tells of an entity goes wherever it stands in the documents (``marked``) that hold the entity, however far away."""
     told = disclosing(rows, found)
-    near = found.select("key", "kind", "value", F.explode("near").alias("t"))
     by_kind = told.where(F.col("value").isNull()).select("kind", "term", "share")
     by_value = told.where(F.col("value").isNotNull()).select("kind", "value", "term", "share")
-    flat = near.select("key", "kind", "value", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.end").alias("end"))
-    hits = flat.join(by_kind, ["kind", "term"]).select("key", "start", "end", "share").unionByName(flat.join(by_value, ["kind", "value", "term"]).select("key", "start", "end", "share"))
-    once = hits.groupBy("key", "start", "end").agg(F.max("share").alias("share"))
-    kind = F.when(F.col("share") >= REMOVE, F.lit("drop")).otherwise(F.lit("term"))
-    span = F.struct("start", F.lit(len(KINDS)).alias("rank"), "end", kind.alias("kind"), F.lit(None).cast("string").alias("value"))
-    return once.groupBy("key").agg(F.collect_list(span).alias("more"))
+    words = marked.where("key is not null").select("key", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
+    holds = words.join(told.select("term").distinct(), "term", "left_semi").join(found.select("key", "kind", "value").distinct(), "key")
+    hits = holds.join(by_kind, ["kind", "term"]).select("key", "term", "share").unionByName(holds.join(by_value, ["kind", "value", "term"]).select("key", "term", "share"))
+    terms = hits.groupBy("key", "term").agg(F.max("share").alias("share")).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))
+    more = marked.join(terms, "key").select("key", _told_in(F.col("text"), F.col("told"), F.col("spans")).alias("more"))
+    return more.groupBy("key").agg(F.first("more").alias("more"))
 
 
 def _join(spans: Column) -> Column:
@@ -165,7 +184,7 @@ def find(docs: DataFrame) -> DataFrame:
         based.select("doc_id", "key", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text"), "lane"), "pii_spans"
     )
     found = materialize(entities(marked), "pii_entities")
-    more = added_spans(rows, found)
+    more = added_spans(rows, marked, found)
     none = F.array().cast(_SPAN)
     joined = marked.where("key is not null").join(more, "key", "left").select("doc_id", "spans", F.coalesce("more", none).alias("more"))
     kept = joined.unionByName(marked.where("key is null").select("doc_id", "spans", none.alias("more")))
@@ -193,10 +212,11 @@ def sanitize(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     based = prepare(rows)
     has = F.size("spans") > 0
-    found = materialize(entities(based.select("doc_id", "key", "spans", "text", "lane")), "pii_entities")
-    more = added_spans(rows, found)
+    marked = materialize(based.where(has).select("row", "key", "spans", "lane"), "pii_spans").withColumn("text", F.col("row.text"))
+    found = materialize(entities(marked), "pii_entities")
+    more = added_spans(rows, marked, found)
     clean = rewrite(F.col("text"), F.array_sort(F.concat("spans", F.coalesce("more", F.array().cast(_SPAN)))))
-    changed = based.where(has).join(more, "key", "left").withColumn("text", clean)
+    changed = marked.join(more, "key", "left").withColumn("text", clean)
     new = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
     untouched = based.where(~has).select("row.*")
     return untouched.unionByName(changed.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns)))

@@ -82,3 +82,12 @@ def test_rewrite_of_overlapping_spans(spark):
     span = lambda a, b, k: F.struct(F.lit(a).alias("start"), F.lit(0).alias("rank"), F.lit(b).alias("end"), F.lit(k).alias("kind"), F.lit("").alias("value"))
     r = spark.range(1).select(pii.rewrite(F.lit("0123456789"), F.array(span(1, 4, "ip"), span(2, 6, "card"), span(7, 9, "drop"))).alias("t")).first()
     assert r.t == "0[IP]69"
+
+
+def test_terms_that_tell_go_everywhere_in_the_document(spark, telling):
+    far = "Zelda wrote this. " + "common words alpha beta gamma without contact " * 5 + "ask zelda at +1 555 010-2000 or a@b.co" + " common alpha beta" * 9 + " Zelda"
+    df = telling.unionByName(spark.createDataFrame([(300, far)], telling.schema))
+    texts = {r.doc_id: r.text for r in pii.sanitize(df).collect()}
+    assert "zelda" not in texts[300].lower() and "[PHONE]" in texts[300] and "Zelda" in texts[200]
+    spans = next(r.spans for r in pii.find(df).collect() if r.doc_id == 300).split(",")
+    assert {far[int(x.split(":")[1]) : int(x.split(":")[2])] for x in spans if x.split(":")[0] in ("term", "drop")} == {"Zelda", "zelda"} and len(spans) == 5
