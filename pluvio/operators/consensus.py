@@ -16,10 +16,11 @@ def daily(values: DataFrame, start_file_id: int | None = None, end_file_id: int
     return v.groupBy(*CELL).agg(F.median(F.coalesce("rainfall", F.lit(0.0))).alias("consensus_value"))
 
 
-def daily_for_maps(values: DataFrame) -> DataFrame:
+def daily_for_maps(values: DataFrame, start_file_id: int | None = None, end_file_id: int | None = None) -> DataFrame:
     """The maps' variant: unknown transcriptions are left out; ``spread`` is their range, ``members`` their number."""
+    v = compat.between_ids(values, "file_id", start_file_id, end_file_id)
     return (
-        values.where(F.col("rainfall").isNotNull()).groupBy(*CELL)
+        v.where(F.col("rainfall").isNotNull()).groupBy(*CELL)
         .agg(F.median("rainfall").alias("value"), (F.max("rainfall") - F.min("rainfall")).alias("spread"), F.count("rainfall").alias("members"))
     )
 

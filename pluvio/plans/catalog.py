@@ -48,7 +48,14 @@ def daily_consensus(spark, sf):
 
 @query(V("pmd") + "select file_id, cast(month as int) as month, cast(day_of_month as int) day_of_month, round(median(rainfall), 6) as value, round(max(rainfall) - min(rainfall), 6) spread, count(rainfall) members from pmd where rainfall is not null and file_id between 100 and 400 group by 1, 2, 3")
 def map_consensus(spark, sf):
-    c = consensus.daily_for_maps(compat.between_ids(a.member_days(spark, sf), "file_id", 100, 400))
+    c = consensus.daily_for_maps(a.member_days(spark, sf), 100, 400)
+    return c.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), _r("value").alias("value"), _r("spread").alias("spread"), "members")
+
+
+@query(V("pmd") + "select file_id, cast(month as int) as month, cast(day_of_month as int) day_of_month, round(median(rainfall), 6) as value, round(max(rainfall) - min(rainfall), 6) spread, count(rainfall) members from pmd where rainfall is not null group by 1, 2, 3")
+def map_consensus_all(spark, sf):
+    """Every page; ``map_consensus`` is the same over a range of ids."""
+    c = consensus.daily_for_maps(a.member_days(spark, sf))
     return c.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), _r("value").alias("value"), _r("spread").alias("spread"), "members")
 
 
@@ -646,6 +653,12 @@ def colour_ceiling(spark, sf):
     return lookups.colour_ceiling(line, "l_quantity").select(F.lit(1).cast("bigint").alias("l_suppkey"), _r("ceiling").alias("ceiling"))
 
 
+@query("select round(list_sort(list(l_quantity))[ceil(0.98 * count(*))::int], 6) ceiling from lineitem where l_quantity is not null")
+def colour_ceiling_all(spark, sf):
+    """The whole table; ``colour_ceiling`` is the same for one supplier."""
+    return lookups.colour_ceiling(a.star(spark, sf, "lineitem", "l_quantity"), "l_quantity").select(_r("ceiling").alias("ceiling"))
+
+
 @query("select p_brand, p_size, count(*) n from part group by 1, 2 having count(*) > 1 union all select 'total', null, count(*) from part")
 def duplicate_keys(spark, sf):
     """Keys that occur more than once, and the rows in all: a uniqueness check."""

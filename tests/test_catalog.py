@@ -24,3 +24,10 @@ def test_entry(spark):
 def test_files_of_the_exchange(spark):
     rows = catalog.QUERIES["exchange_files"](spark, SF).collect()
     assert rows and all(r.content.count("\n") == 13 + r.n_observations for r in rows)
+
+
+def test_whole_tables_are_read(spark):
+    days = catalog.a.member_days(spark, SF).where("rainfall is not null").select("file_id").distinct().count()
+    got = catalog.QUERIES["map_consensus_all"](spark, SF)
+    assert got.select("file_id").distinct().count() == days > 0
+    assert catalog.QUERIES["colour_ceiling_all"](spark, SF).count() == 1

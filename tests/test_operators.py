@@ -150,3 +150,9 @@ def test_adapters_follow_the_schemas(spark):
     for name, df in (("ensemble_daily_values", a.member_days(spark, SF)), ("ensemble_files", a.pages(spark, SF)), ("monthly_rainfall", a.monthly(spark, SF)), ("stations", a.stations(spark, SF)), ("ensemble_metadata", a.metadata(spark, SF))):
         want = {f.name: f.dataType for f in SCHEMAS[name]}
         assert {f.name: f.dataType for f in df.schema} == want, name
+
+
+def test_map_consensus_of_a_range(spark):
+    df = spark.createDataFrame([(i, 1, 1, float(i)) for i in range(1, 7)], "file_id long, month int, day_of_month int, rainfall double")
+    ids = lambda *r: sorted(x.file_id for x in consensus.daily_for_maps(df, *r).collect())
+    assert ids() == [1, 2, 3, 4, 5, 6] and ids(2, 4) == [2, 3, 4] and ids(5) == [5, 6] and ids(None, 2) == [1, 2]
