@@ -285,7 +285,7 @@ def secondary_scores(spark, sf):
     from ..operators import secondary
 
     stats = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1).persist()
-    trained = secondary.train(secondary.training_rows(stats, _status(spark, sf), 1), iterations=5, depth=3)
+    trained = secondary.train(secondary.training_rows(stats, _status(spark, sf), 1))
     return secondary.score(stats, _status(spark, sf), trained, 1)
 
 

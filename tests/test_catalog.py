@@ -31,3 +31,13 @@ def test_whole_tables_are_read(spark):
     got = catalog.QUERIES["map_consensus_all"](spark, SF)
     assert got.select("file_id").distinct().count() == days > 0
     assert catalog.QUERIES["colour_ceiling_all"](spark, SF).count() == 1
+
+
+def test_second_check_trains_with_the_defaults(spark, monkeypatch):
+    from pluvio.operators import secondary
+
+    seen = []
+    monkeypatch.setattr(secondary, "train", lambda rows, **given: seen.append(given))
+    monkeypatch.setattr(secondary, "score", lambda *given: None)
+    catalog.QUERIES["secondary_scores"](spark, SF)
+    assert seen == [{}]
