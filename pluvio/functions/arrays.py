@@ -2,38 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once. A column that a lambda merely mentions is computed anew for every element."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def present(v: Column) -> Column:
     return F.filter(v, lambda x: x.isNotNull() & ~F.isnan(x))
 
 
 def _middle(s: Column) -> Column:
-    """Median of a sorted array; null when empty."""
+    """Median of a sorted array, which is best a bound name; null when empty."""
     n = F.size(s)
-    low, high = F.get(s, F.floor((n - 1) / 2).cast("int")), F.get(s, F.floor(n / 2).cast("int"))
-    return F.when(n > 0, (low + high) / 2)
+    return F.when(n > 0, (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2)
+
+
+def _ordered(v: Column, f: Callable[[Column], Column]) -> Column:
+    return let(F.sort_array(present(v)), f)
+
+
+def _deviation(s: Column, m: Column) -> Column:
+    """Median of the distances of a sorted array's values from m."""
+    return let(F.sort_array(F.transform(s, lambda x: F.abs(x - m))), _middle)
 
 
 def median(v: Column) -> Column:
-    return _middle(F.array_sort(present(v)))
+    return _ordered(v, _middle)
 
 
 def mad(v: Column) -> Column:
     """Median of absolute deviations from the median."""
-    m = median(v)
-    return _middle(F.array_sort(F.transform(present(v), lambda x: F.abs(x - m))))
+    return median_and_mad(v)["mad"]
+
+
+def median_and_mad(v: Column) -> Column:
+    """Both as a struct, from one sorted array; fields are null when nothing is present."""
+    return _ordered(v, lambda s: let(_middle(s), lambda m: F.struct(m.alias("median"), _deviation(s, m).alias("mad"))))
 
 
 def hinges(v: Column) -> tuple[Column, Column]:
     """Lower and upper Tukey hinge: medians of the halves, the middle value left out of both; null below two values."""
-    s = F.array_sort(present(v))
-    n = F.size(s)
-    half = F.floor(n / 2).cast("int")
-    pick = lambda part: F.when(n >= 2, _middle(part))
-    return pick(F.slice(s, 1, half)), pick(F.slice(s, n - half + 1, half))
+    both = _ordered(v, lambda s: let(F.floor(F.size(s) / 2).cast("int"), lambda half: F.struct(
+        F.when(half > 0, let(F.slice(s, 1, half), _middle)).alias("low"), F.when(half > 0, let(F.slice(s, F.size(s) - half + 1, half), _middle)).alias("high"))))
+    return both["low"], both["high"]
 
 
 def iqr(v: Column) -> Column:
@@ -41,16 +58,22 @@ def iqr(v: Column) -> Column:
     return high - low
 
 
-def mean(v: Column) -> Column:
-    p = present(v)
+def _mean(p: Column) -> Column:
     return F.when(F.size(p) > 0, F.aggregate(p, F.lit(0.0), lambda a, x: a + x) / F.size(p))
 
 
+def mean(v: Column) -> Column:
+    return let(present(v), _mean)
+
+
+def _stdev(p: Column) -> Column:
+    squares = let(_mean(p), lambda m: F.aggregate(p, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)))
+    return F.when(F.size(p) >= 2, F.sqrt(squares / F.greatest(F.size(p) - 1, F.lit(1))))
+
+
 def stdev(v: Column) -> Column:
     """Sample standard deviation; null below two values."""
-    p, m = present(v), mean(v)
-    n = F.size(p)
-    return F.when(n >= 2, F.sqrt(F.aggregate(p, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / F.greatest(n - 1, F.lit(1))))
+    return let(present(v), _stdev)
 
 
 def completeness(v: Column) -> Column:
@@ -59,11 +82,14 @@ def completeness(v: Column) -> Column:
 
 def robust_scale(v: Column) -> Column:
     """(x - median) / MAD; a MAD of nearly nothing gives way to the deviation, that to one; below two values all null."""
-    m, scale = median(v), mad(v)
-    scale = F.when(scale > 1e-9, scale).when(F.coalesce(stdev(v), F.lit(0.0)) > 1e-9, stdev(v)).otherwise(1.0)
-    return F.when(F.size(present(v)) >= 2, F.transform(v, lambda x: F.when(x.isNotNull() & ~F.isnan(x), (x - m) / scale))).otherwise(
-        F.transform(v, lambda x: F.lit(None).cast("double"))
-    )
+    spread = lambda c: F.struct(c["median"].alias("m"), let(stdev(v), lambda d: F.when(c["mad"] > 1e-9, c["mad"]).when(d > 1e-9, d).otherwise(1.0)).alias("scale"))
+    scaled = let(let(median_and_mad(v), spread), lambda c: F.transform(v, lambda x: F.when(x.isNotNull() & ~F.isnan(x), (x - c["m"]) / c["scale"])))
+    return F.when(F.size(present(v)) >= 2, scaled).otherwise(F.transform(v, lambda x: F.lit(None).cast("double")))
+
+
+def all_equal(v: Column) -> Column:
+    """Whether all values are one and none is unknown; false for no values at all."""
+    return F.coalesce(F.forall(v, lambda x: x.isNotNull()) & (F.array_min(v) == F.array_max(v)), F.lit(False))
 
 
 def zeros(v: Column, missing: int = 12) -> Column:
@@ -86,19 +112,3 @@ def cosine(a: Column, b: Column) -> Column:
     f32 = lambda x: x.cast("float").cast("double")
     dot, aa, bb = (total(g) for g in (lambda p: f32(p["a"]) * f32(p["b"]), lambda p: f32(p["a"]) * f32(p["a"]), lambda p: f32(p["b"]) * f32(p["b"])))
     return F.when((aa > 0) & (bb > 0), dot / F.sqrt(aa * bb)).otherwise(F.lit(float("-inf")))
-
-
-def cosine_of(a: Column, b: Column, n: int) -> Column:
-    """``cosine`` of arrays of n entries without NaN, written out term by term, so that it compiles; lambdas do not."""
-    zero = F.lit(0.0)
-    x = [F.get(a, F.lit(i)).cast("float").cast("double") for i in range(n)]
-    y = [F.get(b, F.lit(i)).cast("float").cast("double") for i in range(n)]
-
-    def total(f) -> Column:
-        out = zero
-        for p, q in zip(x, y):
-            out = out + F.coalesce(f(p, q), zero)
-        return out
-
-    dot, aa, bb = total(lambda p, q: p * q), total(lambda p, q: F.when(q.isNotNull(), p * p)), total(lambda p, q: F.when(p.isNotNull(), q * q))
-    return F.when((aa > 0) & (bb > 0), dot / F.sqrt(aa * bb)).otherwise(F.lit(float("-inf")))

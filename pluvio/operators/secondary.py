@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEATURES = ("n_20km", "median_20km", "mad_20km", "n_50km", "median_50km", "mad_50km", "month")
@@ -77,10 +77,10 @@ def train(rows: DataFrame, coverage: float = COVERAGE, folds: int = FOLDS, held_
         residuals = residuals.unionByName(p)
     value_model, error_model = _regressor("y", seed, iterations, depth).fit(fit), _regressor("e", seed, iterations, depth).fit(residuals)
     scored = _predict(calib, value_model, error_model).withColumn("gap", F.abs(F.col("y") - F.col("z"))).persist()
-    k = scored.agg(F.percentile(F.col("gap") / F.col("err"), coverage)).first()[0] or 0.0
+    k = calibrate(scored, coverage)
     mean_y = F.avg("y")
     row = scored.agg(
-        F.count(F.lit(1)).alias("n"), F.avg((F.col("gap") <= k * F.col("err")).cast("double")).alias("covered"),
+        F.count(F.lit(1)).alias("n"), covered(k).alias("covered"),
         F.avg(F.abs(F.expm1("z") - F.expm1("y"))).alias("mae"), F.sum(F.col("gap") * F.col("gap")).alias("rss"), F.var_pop("y").alias("var"), mean_y.alias("mean"),
     ).first()
     r2 = 1 - row.rss / (row.var * row.n) if row.n and row.var else float("nan")
@@ -89,6 +89,15 @@ def train(rows: DataFrame, coverage: float = COVERAGE, folds: int = FOLDS, held_
     return Trained(value_model, error_model, float(k), coverage, float(row.covered or 0.0), n_train, row.n, float(row.mae or 0.0), float(r2))
 
 
+def calibrate(scored: DataFrame, coverage: float) -> float:
+    """The least factor on ``err`` that covers this share of ``gap``, between two ranks in proportion; 0 without rows."""
+    return float(scored.agg(F.percentile(F.col("gap") / F.col("err"), coverage)).first()[0] or 0.0)
+
+
+def covered(k: float) -> Column:
+    return F.avg((F.col("gap") <= k * F.col("err")).cast("double"))
+
+
 def _predict(df: DataFrame, value_model: PipelineModel, error_model: PipelineModel) -> DataFrame:
     first = value_model.transform(df).drop("features")
     second = error_model.transform(first.withColumnRenamed("z", "value_z")).drop("features")

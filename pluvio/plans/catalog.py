@@ -6,6 +6,7 @@ Derived doubles are rounded where the order of a sum could show; ids and counts
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import arrays, compat, geo, qc, text
-from ..operators import analysis, assign, consensus, export, frames, lookups, match, qc1, regional, vectors
+from ..operators import analysis, assign, consensus, export, frames, ingest, lookups, match, qc1, regional, registry, vectors
+from ..sources import files, monthly_csv, pages_json, sef, tables
+from .. import stored
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,15 +49,8 @@ def daily_consensus(spark, sf):
     return c.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), _r("consensus_value").alias("consensus_value"))
 
 
-@query(V("pmd") + "select file_id, cast(month as int) as month, cast(day_of_month as int) day_of_month, round(median(rainfall), 6) as value, round(max(rainfall) - min(rainfall), 6) spread, count(rainfall) members from pmd where rainfall is not null and file_id between 100 and 400 group by 1, 2, 3")
-def map_consensus(spark, sf):
-    c = consensus.daily_for_maps(a.member_days(spark, sf), 100, 400)
-    return c.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), _r("value").alias("value"), _r("spread").alias("spread"), "members")
-
-
 @query(V("pmd") + "select file_id, cast(month as int) as month, cast(day_of_month as int) day_of_month, round(median(rainfall), 6) as value, round(max(rainfall) - min(rainfall), 6) spread, count(rainfall) members from pmd where rainfall is not null group by 1, 2, 3")
-def map_consensus_all(spark, sf):
-    """Every page; ``map_consensus`` is the same over a range of ids."""
+def map_consensus(spark, sf):
     c = consensus.daily_for_maps(a.member_days(spark, sf))
     return c.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), _r("value").alias("value"), _r("spread").alias("spread"), "members")
 
@@ -168,58 +164,85 @@ def neighbour_cosine(spark, sf):
 
 _MATCH = """,
     q as (select file_id, month, total from pmm where is_missing = 0 and total is not null),
-    ov as (select file_id, count(distinct month) overlap from q group by 1),
-    rr as (select station_file_id || '::' || year id, unnest(range(1, 13)) m, cast(round_even(unnest(raw)::float * 100::float, 0) as int) c from vec),
+    ov as (select file_id, count(distinct month) overlap from q group by 1 having count(distinct month) >= 10),
+    st as (select station_file_id || '::' || year id, station_file_id, year, raw, list_median(raw) med, list_median(list_transform(raw, lambda x: abs(x - list_median(raw)))) mad,
+      sqrt(list_sum(list_transform(raw, lambda x: (x - list_avg(raw)) * (x - list_avg(raw)))) / 11) sd from vec),
+    rn as (select id, station_file_id, year, raw, list_transform(raw, lambda x: ((x - med) / case when mad > 1e-9 then mad when sd > 1e-9 then sd else 1.0 end)::float::double) norm from st),
+    rr as (select id, unnest(range(1, 13)) m, cast(round_even(unnest(raw)::float * 100::float, 0) as int) c from rn),
     qc as (select distinct file_id, month, unnest([c - 1, c, c + 1]) c from (select file_id, month, cast(round_even(total::float * 100::float, 0) as int) c from q)),
-    ex as (select q.file_id, rr.id, count(*) exact from qc q join rr on rr.m = q.month and rr.c = q.c group by all)
+    ex as (select qc.file_id, rr.id, count(*) exact from qc join rr on rr.m = qc.month and rr.c = qc.c group by all),
+    mem as (select file_id, month, list(coalesce(total, 0.0) order by coalesce(total, 0.0)) v from pmm where is_missing = 0 or is_missing is null group by all),
+    mm as (select file_id, month, list_median(v) value, case when len(v) >= 2 then list_median(v[len(v) - len(v) // 2 + 1 :]) - list_median(v[: len(v) // 2]) end iqr from mem),
+    pl as (select file_id, avg(iqr) uncertainty, list(value) vals from mm group by 1),
+    ps as (select *, list_median(vals) med, list_median(list_transform(vals, lambda x: abs(x - list_median(vals)))) mad,
+      sqrt(list_sum(list_transform(vals, lambda x: (x - list_avg(vals)) * (x - list_avg(vals)))) / (len(vals) - 1)) sd from pl where len(vals) >= 2),
+    pn as (select file_id, month, ((value - med) / case when mad > 1e-9 then mad when sd > 1e-9 then sd else 1.0 end)::float::double x from mm join ps using (file_id)),
+    pv as (select file_id, uncertainty, list(x order by month) xs, list(month order by month) ms from pn join pl using (file_id) group by all),
+    cs as (select pv.file_id, rn.id, uncertainty, xs, list_transform(ms, lambda m: norm[m]) ys from pv join ov using (file_id), rn),
+    co as (select file_id, id, uncertainty, list_dot_product(xs, ys) dot, list_dot_product(xs, xs) * list_dot_product(ys, ys) sq from cs),
+    mt as (select co.file_id, co.id, coalesce(exact, 0) exact, overlap, case when sq > 0 then dot / sqrt(sq) else '-infinity'::double end cosine, case when sq > 0 then dot / sqrt(sq) else '-infinity'::double end - 0.15 * coalesce(uncertainty, 0.0) adjusted
+      from co join ov using (file_id) left join ex on ex.file_id = co.file_id and ex.id = co.id),
+    tk as (select *, row_number() over (partition by file_id order by exact desc, round(adjusted, 9) desc, id) k from mt qualify k <= 10)
 """
 
 
+def _page():
+    return F.expr("cast(replace(ensemble_vector_id, 'ensemble_file::', '') as bigint)").alias("file_id")
+
+
 def _matches(spark, sf) -> DataFrame:
     totals, files = a.member_months(spark, sf), a.pages(spark, sf)
-    # the match reads its inputs several times; the chain stores them as tables, here they are kept
-    members, page_vectors, stations = (d.persist() for d in (vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf))))
-    return match.top_k(members, page_vectors, stations, k=3, min_overlap=6)
+    return match.top_k(vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)))
+
+
+@query(V("pmm", "vec").rstrip() + _MATCH + "select file_id, k query_rank, id rr_vector_id, exact, overlap overlap_months, round(cosine, 6) cosine, round(adjusted, 6) adjusted from tk")
+def best_matches(spark, sf):
+    """All ten ranks of every page."""
+    m = _matches(spark, sf)
+    return m.select(_page(), "query_rank", "rr_vector_id", F.col("exact_agreement_count").alias("exact"), "overlap_months", _r("cosine_similarity").alias("cosine"), _r("adjusted_score").alias("adjusted"))
 
 
-@query(V("pmm", "vec").rstrip() + _MATCH + "select e.file_id, max(exact) as exact, any_value(overlap) overlap_months from ex e join ov using (file_id) where overlap >= 6 group by 1")
+@query(V("pmm", "vec").rstrip() + _MATCH + "select file_id, exact, overlap overlap_months from tk where k = 1")
 def best_agreement(spark, sf):
     m = _matches(spark, sf).where("query_rank = 1")
-    return m.select(F.expr("cast(replace(ensemble_vector_id, 'ensemble_file::', '') as bigint)").alias("file_id"), F.col("exact_agreement_count").alias("exact"), "overlap_months")
+    return m.select(_page(), F.col("exact_agreement_count").alias("exact"), "overlap_months")
 
 
-@query(V("pmm", "vec").rstrip() + _MATCH + """, b as (select e.file_id, max(exact) as exact from ex e join ov using (file_id) where overlap >= 6 group by 1)
-    select i::bigint exact_agreement_count, count(b.file_id) n from range(13) t(i) left join b on b.exact = i group by 1""")
+@query(V("pmm", "vec").rstrip() + _MATCH + "select i::bigint exact_agreement_count, count(tk.file_id) n from range(13) t(i) left join tk on tk.exact = i and tk.k = 1 group by 1")
 def agreement_histogram(spark, sf):
     return lookups.agreement_histogram(_matches(spark, sf), 1)
 
 
-@query(V("pmm", "vec", "station").rstrip() + _MATCH + """, b as (select e.file_id, e.id, e.exact from ex e join ov using (file_id) where overlap >= 6 qualify row_number() over (partition by e.file_id order by exact desc, id) = 1),
-    one as (select file_id from (select e.file_id, exact, rank() over (partition by e.file_id order by exact desc) r from ex e join ov using (file_id) where overlap >= 6) where r = 1 group by 1 having count(*) = 1)
-    select b.file_id, s.location_name matched_location_name, v.year::bigint matched_year, s.latitude matched_latitude, s.longitude matched_longitude from b join one using (file_id) join vec v on v.station_file_id || '::' || v.year = b.id join station s using (station_file_id)
-    where b.exact >= 9 and len(list_filter(v.raw, lambda x: x = 0)) <= 3""")
-def exact_places(spark, sf):
-    """Exact assignments of pages whose best agreement is no tie."""
-    m, files = _matches(spark, sf), a.pages(spark, sf)
-    rr = vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf))
-    tied = m.where("query_rank <= 2").groupBy("ensemble_vector_id").agg(F.max(F.when(F.col("query_rank") == 1, F.col("exact_agreement_count"))).alias("x"), F.max(F.when(F.col("query_rank") == 2, F.col("exact_agreement_count"))).alias("y"))
-    clear = tied.where("y is null or x > y").select(F.expr("cast(replace(ensemble_vector_id, 'ensemble_file::', '') as bigint)").alias("file_id"))
-    out = assign.metadata(m, rr, a.stations(spark, sf), files, 1).where("match_type = 'exact'").join(clear, "file_id", "left_semi")
-    return out.select("file_id", "matched_location_name", "matched_year", "matched_latitude", "matched_longitude")
+_PLACES = """,
+    t3 as (select tk.file_id, tk.k, exact, rn.year, location_name, latitude, longitude, elevation_ft, len(list_filter(rn.raw, lambda x: x = 0)) zeros from tk join rn on rn.id = tk.id join station s on s.station_file_id = rn.station_file_id where k <= 3),
+    w as (select file_id, list(row(exact, zeros, year, location_name, latitude, longitude, elevation_ft)::struct(x bigint, z bigint, y bigint, n varchar, la double, lo double, el int) order by k) r from t3 group by 1),
+    kd as (select *, case when r[1].x >= 9 and r[1].z <= 3 then 'exact' when len(r) = 3 and r[1].y = r[2].y and r[2].y = r[3].y and
+      greatest(sqrt(pow(r[1].la - r[2].la, 2) + pow(r[1].lo - r[2].lo, 2)), sqrt(pow(r[1].la - r[3].la, 2) + pow(r[1].lo - r[3].lo, 2)), sqrt(pow(r[2].la - r[3].la, 2) + pow(r[2].lo - r[3].lo, 2))) <= 1.0 then 'approximate' end match_type from w)
+"""
+_PLACE = """select p.file_id, case match_type when 'exact' then r[1].n end matched_location_name, case when match_type is not null then r[1].y end matched_year,
+    round(case match_type when 'exact' then r[1].la when 'approximate' then (r[1].la + r[2].la + r[3].la) / 3 end, 6) matched_latitude, round(case match_type when 'exact' then r[1].lo when 'approximate' then (r[1].lo + r[2].lo + r[3].lo) / 3 end, 6) matched_longitude,
+    case match_type when 'exact' then r[1].el::double end matched_elevation_ft, match_type from pages p left join kd using (file_id)"""
 
 
-@query(None)
+@query(V("pmm", "vec", "station", "pages").rstrip() + _MATCH.rstrip() + _PLACES + _PLACE)
 def page_places(spark, sf):
     """All assignments, exact, approximate and none."""
-    m = _matches(spark, sf)
-    return assign.metadata(m, vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)), a.stations(spark, sf), a.pages(spark, sf), 1)
+    out = assign.metadata(_matches(spark, sf), vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)), a.stations(spark, sf), a.pages(spark, sf), 1)
+    return out.select("file_id", "matched_location_name", "matched_year", _r("matched_latitude").alias("matched_latitude"), _r("matched_longitude").alias("matched_longitude"), "matched_elevation_ft", "match_type")
+
+
+@query(V("pmm", "vec", "station", "pages").rstrip() + _MATCH.rstrip() + _PLACES + _PLACE + " where match_type = 'exact'")
+def exact_places(spark, sf):
+    """Exact assignments only."""
+    return page_places(spark, sf).where("match_type = 'exact'")
 
 
-@query(V("sm", "pages") + """select station_file_id || '::' || year rr_vector_id, count(p.file_id) match_count from (select distinct station_file_id, year, file_id from sm) s left join (select file_id from pages where file_id % 4 <> 1) p on p.file_id = s.file_id group by 1""")
+@query(V("sm", "pages") + """select station_file_id || '::' || year rr_vector_id, count(p.file_id) match_count, coalesce(string_agg(replace(p.file_name, '.json', ''), ',' order by p.file_name), '') specifiers
+    from (select distinct station_file_id, year, file_id from sm) s left join (select file_id, file_name from pages where file_id % 4 <> 1) p on p.file_id = s.file_id group by 1""")
 def match_counts(spark, sf):
     rr = vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf))
     exact = a.pages(spark, sf).select("file_id", "file_name", F.lit("exact").alias("match_type"), F.lit(1).cast("bigint").alias("match_source_session_id"))
-    return lookups.match_counts(rr, _planted(spark, sf), exact, 1).select("rr_vector_id", "match_count")
+    return lookups.match_counts(rr, _planted(spark, sf), exact, 1).select("rr_vector_id", "match_count", F.coalesce(F.array_join("specifiers", ","), F.lit("")).alias("specifiers"))
 
 
 # --- neighbours ---------------------------------------------------------------------------------------------------------------------
@@ -255,9 +278,9 @@ def _status(spark, sf) -> DataFrame:
     return days.select(F.lit(1).cast("bigint").alias("qc_session_id"), "file_id", "month", "day_of_month", F.when(ok, "pass").when(F.col("file_id") % 2 == 0, "review").otherwise("fail").alias("final_flag"))
 
 
-@query("select 0::bigint near_above_far, 0::bigint negative_mad, 0::bigint negative_median, 0::bigint median_without_count")
+@query(V("cons") + "select count(*) as rows, 0::bigint near_above_far, 0::bigint negative_mad, 0::bigint negative_median, 0::bigint median_without_count from cons")
 def neighbour_invariants(spark, sf):
-    return regional.violations(regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1)).drop("rows")
+    return regional.violations(regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1))
 
 
 @query("""select a.s_suppkey, b.s_suppkey other, round(sqrt(pow((51.0 + (a.s_suppkey*37 % 97) / 50.0) - (51.0 + (b.s_suppkey*37 % 97) / 50.0), 2) + pow((a.s_suppkey*91 % 89) / 40.0 - (b.s_suppkey*91 % 89) / 40.0, 2)), 6) degrees from supplier a join supplier b on b.s_suppkey = a.s_suppkey + 1""")
@@ -279,12 +302,24 @@ def secondary_verdicts(spark, sf):
     return secondary.verdict(rows, 2.0).select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), "secondary_flag")
 
 
+@query(V("cons") + """, r as (select abs(consensus_value - (file_id % 30) / 10.0::double) gap, (0.1::double + month / 10.0::double) err from cons), q as (select quantile_cont(gap / err, 0.99) k from r)
+    select round(k, 6) k, round(avg((gap <= k * err)::int), 6) covered, count(*) n from r, q group by k""")
+def secondary_calibration(spark, sf):
+    """The factor that makes the interval cover 99 of 100 days, on given predictions."""
+    from ..operators import secondary
+
+    days = consensus.daily(a.member_days(spark, sf)).select(F.abs(F.col("consensus_value") - F.col("file_id") % 30 / 10.0).alias("gap"), (0.1 + F.col("month") / 10.0).alias("err"))
+    k = secondary.calibrate(days, secondary.COVERAGE)
+    return days.agg(F.round(F.lit(k), 6).alias("k"), _r(secondary.covered(k)).alias("covered"), F.count(F.lit(1)).alias("n"))
+
+
 @query(None)
 def secondary_scores(spark, sf):
     """Trains both regressors and scores the days that failed; trees have no SQL, so tests hold coverage and flags."""
     from ..operators import secondary
 
-    stats = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1).persist()
+    stats = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1)
+    stats = stored.stored(stats, "regional_daily_stats")  # training reads it many times, as the chain's table
     trained = secondary.train(secondary.training_rows(stats, _status(spark, sf), 1))
     return secondary.score(stats, _status(spark, sf), trained, 1)
 
@@ -334,12 +369,40 @@ def merged_stations(spark, sf):
     return export.merged_stations(_export_rows(spark, sf)).select("matched_year", "group_key", "n_sources", F.array_join("sources", ",").alias("sources"), "station_id")
 
 
-@query(None)
-def exchange_files(spark, sf):
-    """The whole text of every station-year's file; a test reads it back."""
+_LINES = """,
+    best as (select * from k qualify row_number() over (partition by matched_year, group_key, month, day_of_month order by qc_rank, file_id) = 1),
+    body as (select matched_year, group_key, count(*) n, string_agg(concat_ws(chr(9), matched_year, month, day_of_month, 9, 0, '1day', printf('%.1f', consensus_value * 25.4),
+      'qc1=' || q1 || '|qc2=' || coalesce(q2, 'NA') || '|source=' || replace(file_name, '.json', '')), chr(10) order by month, day_of_month) lines from best group by all),
+    f as (select matched_year, group_key, file_id, replace(any_value(file_name), '.json', '') id, count(*) filter (where q1 = 'pass') p from k group by all),
+    s as (select matched_year, group_key, count(*) n_sources, string_agg(id, ',' order by id) sources, arg_min(file_id, row(-p, file_id)) lead from f group by all)
+"""
+
+
+def _exchange(spark, sf) -> DataFrame:
     return export.documents(_export_rows(spark, sf), 1)
 
 
+@query(V("cons", "meta").rstrip() + _EXPORT.rstrip() + _LINES + """select s.matched_year::int as year, replace(file_name, '.json', '') station_id, n::int n_observations,
+      array_to_string(['SEF' || chr(9) || '1.0.0', 'ID' || chr(9) || replace(file_name, '.json', ''), 'Name' || chr(9) || coalesce(matched_location_name, 'NA'), 'Lat' || chr(9) || printf('%.4f', matched_latitude),
+        'Lon' || chr(9) || printf('%.4f', matched_longitude), 'Alt' || chr(9) || coalesce(printf('%.1f', matched_elevation_ft * 0.3048), 'NA'), 'Source' || chr(9) || 'NA', 'Link' || chr(9) || 'NA',
+        'Vbl' || chr(9) || 'rr', 'Stat' || chr(9) || 'sum', 'Units' || chr(9) || 'mm', 'Meta' || chr(9) || 'orig.units=in|match.type=' || match_type || '|qc.session=1|n.sources=' || n_sources || '|sources=' || sources,
+        concat_ws(chr(9), 'Year', 'Month', 'Day', 'Hour', 'Minute', 'Period', 'Value', 'Meta'), lines, ''], chr(10)) as content
+    from s join body using (matched_year, group_key) join meta on meta.file_id = s.lead""")
+def exchange_files(spark, sf):
+    """The whole text of every station-year's file."""
+    return _exchange(spark, sf)
+
+
+@query(V("cons", "meta").rstrip() + _EXPORT.rstrip() + _LINES + """select replace(l.file_name, '.json', '') station_id, l.matched_location_name location_name, b.matched_year::int as year, b.month::int as month, b.day_of_month::int as day,
+      printf('%.1f', b.consensus_value * 25.4)::double value_mm, q1 qc1, coalesce(q2, 'NA') qc2, coalesce(q1 = 'pass' or q2 in ('pass', 'indeterminate'), false) passed
+    from best b join s using (matched_year, group_key) join meta l on l.file_id = s.lead where try_cast(b.matched_year || '-' || b.month || '-' || b.day_of_month as date) is not null""")
+def exchange_round_trip(spark, sf):
+    """Every station-year's file written, and read back as observations."""
+    root = f"{stored.shared_dir(spark)}/exchange-{uuid.uuid4().hex}"
+    sef.write(_exchange(spark, sf), root)
+    return sef.read(spark, root).select("station_id", "location_name", "year", F.col("month").cast("int").alias("month"), F.col("day").cast("int").alias("day"), "value_mm", "qc1", "qc2", "passed")
+
+
 # --- analysis ------------------------------------------------------------------------------------------------------------------------------
 
 _DAILY = """,
@@ -430,6 +493,70 @@ def parse_summary(spark, sf):
     return analysis.parse_summary(a.observations(spark, sf))
 
 
+# --- files in ---------------------------------------------------------------------------------------------------------------------------------
+
+
+def _page_texts(spark, sf) -> DataFrame:
+    """folder, name, content: a JSON text a page, with two days and the totals; every eleventh page has a total in quotes and fails."""
+    days = a.member_days(spark, sf).where("is_missing = 0").groupBy("file_id", "month", "day_of_month", "ensemble_member").agg(F.max("rainfall").alias("v"))
+    slot = F.when(F.col("day_of_month") == 1, 0).otherwise(1) * 60 + (F.col("month") - 1) * 5 + F.col("ensemble_member") - 1
+    cells = days.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct(slot.cast("int").alias("at"), F.coalesce(F.col("v").cast("string"), F.lit("null")).alias("t")))).alias("cells"))
+    member = lambda at: F.coalesce(F.try_element_at("cells", at), F.lit('" Missing"'))
+    month = lambda base: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda m: F.concat(F.lit('{"values":['), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(4)), lambda j: member((base + m * 5 + j).cast("int"))), ","), F.lit("]}"))), ",")
+    total = F.when(F.col("file_id") % 11 == 0, F.lit('{"values":["1.5",1,1,1,1]}')).otherwise(F.lit('{"values":[1.5,true,null,"missing",2]}'))
+    content = F.concat(F.lit('{"Day 1":['), month(F.lit(0)), F.lit('],"Day 2":['), month(F.lit(60)), F.lit('],"Totals":['), F.array_join(F.array_repeat(total, 12), ","), F.lit("]}"))
+    return a.pages(spark, sf).join(cells, "file_id").select(F.col("year_start").alias("folder"), text.without_suffix(F.col("file_name")).alias("name"), content.alias("content"))
+
+
+_PAGE_FILES = """,
+    texts as (select p.file_id old, replace(p.file_name, '.json', '') id, (p.file_id % 10 + 1995)::int as y from pages p where p.file_id in (select file_id from pmd where is_missing = 0)),
+    good as (select *, row_number() over (order by y, id || '.json') file_id from texts where old % 11 <> 0),
+    cell as (select file_id, month, day_of_month, ensemble_member, max(rainfall) v from pmd where is_missing = 0 group by all)
+"""
+
+
+def _ingested(spark, sf) -> str:
+    root = f"{stored.shared_dir(spark)}/pages-{uuid.uuid4().hex}"
+    files.write(_page_texts(spark, sf), f"{root}/json", ".json")
+    ingest.pages(spark, f"{root}/json", f"{root}/tables")
+    return f"{root}/tables"
+
+
+@query(V("pmd", "pages").rstrip() + _PAGE_FILES + """select good.file_id, g.d::int day_of_month, m.m::int as month, e.e::int ensemble_member, v rainfall, (cell.file_id is null)::int is_missing from good, range(1, 3) g(d), range(1, 13) m(m), range(1, 6) e(e)
+    left join cell on cell.file_id = good.old and cell.month = m.m and cell.day_of_month = g.d and cell.ensemble_member = e.e""")
+def page_ingest_days(spark, sf):
+    """A JSON file a page, written and ingested: the daily values of the tables."""
+    t = tables.read(spark, _ingested(spark, sf), "ensemble_daily_values")
+    return t.select("file_id", *(F.col(c).cast("int").alias(c) for c in ("day_of_month", "month", "ensemble_member")), "rainfall", F.col("is_missing").cast("int").alias("is_missing"))
+
+
+@query(V("pmd", "pages").rstrip() + _PAGE_FILES + """select 'page' kind, file_id, id as name, y as year_start, 2::int num_days, null as error_message from good
+    union all select 'error', null, id, null, null, 'a value that is no number' from texts where old % 11 = 0""")
+def page_ingest_files(spark, sf):
+    """The pages of the same ingest, and those that failed."""
+    root = _ingested(spark, sf)
+    name = text.without_suffix(F.element_at(F.split("source_path", "/"), -1))
+    good = tables.read(spark, root, "ensemble_files").select(F.lit("page").alias("kind"), "file_id", F.col("file_name").alias("name"), F.col("year_start").cast("int").alias("year_start"), F.col("num_days").cast("int").alias("num_days"), F.lit(None).cast("string").alias("error_message"))
+    bad = spark.read.parquet(f"{root}/ensemble_ingestion_file_errors").select(F.lit("error").alias("kind"), F.lit(None).cast("bigint").alias("file_id"), name.alias("name"), F.lit(None).cast("int").alias("year_start"), F.lit(None).cast("int").alias("num_days"), "error_message")
+    return good.unionByName(bad)
+
+
+@query("""with s as (select s_suppkey k, s_name nm from supplier), c as (select k, nm, y.y, m.m, (k * 7 + y.y * 3 + m.m * 11) % 500 / 100.0::double v, (k + y.y + m.m) % 13 = 0 gap from s, range(1900, 1903) y(y), range(1, 13) m(m))
+    select k::varchar station_number, nm location_name, round(51.0::double + k % 97 / 50.0::double, 6) latitude, y::int as year, m::int as month, v rainfall_in from c where not gap""")
+def station_table_ingest(spark, sf):
+    """A station table (CSV) for every supplier, written and ingested: its monthly values beside its place."""
+    k = F.col("s_suppkey")
+    value = lambda y, m: F.when((k + y + m) % 13 == 0, F.lit("n/a")).otherwise(((k * 7 + y * 3 + m * 11) % 500 / 100.0).cast("string"))
+    months = [F.concat_ws(",", F.lit(name), *(value(F.lit(y), F.lit(m)) for y in (1900, 1901, 1902))) for m, name in enumerate(monthly_csv.MONTHS, 1)]
+    place = F.concat(F.lit("Grid,SU 123 456,Lon,-1.5,Lat,"), (F.lit(51.0) + k % 97 / 50.0).cast("string"), F.lit(",Elev,"), (k % 900).cast("string"))
+    content = F.concat_ws("\n", F.col("s_name"), place, F.concat(F.lit("Station,"), k.cast("string")), F.lit(""), F.lit("Year,1900,1901,1902"), *months, F.lit("Total,,,"), F.lit(""))
+    root = f"{stored.shared_dir(spark)}/stations-{uuid.uuid4().hex}"
+    files.write(a.star(spark, sf, "supplier", "s_suppkey", "s_name").select((k % 10).alias("folder"), k.cast("string").alias("name"), content.alias("content")), f"{root}/DATA", ".csv")
+    ingest.monthly_tables(spark, f"{root}/DATA", f"{root}/tables")
+    st, rain = tables.read(spark, f"{root}/tables", "stations"), tables.read(spark, f"{root}/tables", "monthly_rainfall")
+    return rain.join(st, "station_file_id").select("station_number", "location_name", _r("latitude").alias("latitude"), F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month"), "rainfall_in")
+
+
 # --- lookups, frames ------------------------------------------------------------------------------------------------------------------------
 
 
@@ -446,7 +573,9 @@ def qc_of_date(spark, sf):
 @query(V("smeta", "cons").rstrip() + _PAIRS + ", " + _PASS + """, g as (select d.file_id, median(c.consensus_value) v from d join cons c on c.file_id = d.nb join p using (file_id, month, day_of_month) where km <= 50 and month = 5 and day_of_month = 1 and year = 1996 group by 1)
     select c.file_id, s.file_name, round(v, 6) as value from cons c join smeta s using (file_id) left join g using (file_id) where year = 1996 and month = 5 and day_of_month = 1""".replace("join p using (file_id, month, day_of_month)", "join p on p.file_id = c.file_id and p.month = c.month and p.day_of_month = c.day_of_month").replace("and month = 5 and day_of_month = 1 and year = 1996", "and c.month = 5 and c.day_of_month = 1 and d.year = 1996"))
 def neighbours_of_date(spark, sf):
-    stats = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1)
+    # the year and the day reach the scans of both sides
+    one_day = (F.col("month") == 5) & (F.col("day_of_month") == 1)
+    stats = regional.daily_stats(a.station_metadata(spark, sf).where("matched_year = 1996"), consensus.daily(a.member_days(spark, sf).where(one_day)), _status(spark, sf).where(one_day), 1, 1)
     return lookups.regional_for_date(stats, a.station_metadata(spark, sf), "median_50km", 1996, 5, 1).select("file_id", "file_name", _r("value").alias("value"))
 
 
@@ -494,9 +623,10 @@ def semi_join(spark, sf):
     return a.star(spark, sf, "customer", "c_custkey").join(a.star(spark, sf, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
 
 
-@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+@query("select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 300000)")
 def anti_join(spark, sf):
-    return a.star(spark, sf, "customer", "c_custkey").join(a.star(spark, sf, "orders", "o_custkey").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left_anti")
+    large = a.star(spark, sf, "orders", "o_custkey", "o_totalprice").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    return a.star(spark, sf, "customer", "c_custkey").join(large, "c_custkey", "left_anti")
 
 
 @query("select c_custkey, count(o_orderkey) n_orders from customer left join orders on o_custkey = c_custkey and o_orderstatus = 'F' group by 1")
@@ -633,12 +763,13 @@ def vectors_through_json(spark, sf):
     return v.select("rr_vector_id", F.round(F.aggregate(back, F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
 
 
-@query("select k, max(n) filter (where t = 'new') is not null replaced, arg_max(n, t = 'new') n from (select s_suppkey k, s_nationkey n, 'old' t from supplier union all select s_suppkey, s_nationkey + 100, 'new' from supplier where s_suppkey % 3 = 0) group by 1")
+@query("""select k file_id, 1::int as month, arg_max(n, t) n, max(t) updated_at from (select s_suppkey k, s_nationkey::double n, 'a' t from supplier union all select s_suppkey, s_nationkey + 100.0, 'b' from supplier where s_suppkey % 3 = 0
+    union all select s_suppkey, s_nationkey + 200.0, 'c' from supplier where s_suppkey % 6 = 0) group by 1""")
 def upsert(spark, sf):
-    """Rows replaced by key: those of the new table win, the others stay."""
-    old = a.star(spark, sf, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("n"))
-    new = old.where("k % 3 = 0").withColumn("n", F.col("n") + 100)
-    return old.join(new.select("k"), "k", "left_anti").withColumn("replaced", F.lit(False)).unionByName(new.withColumn("replaced", F.lit(True)))
+    """Features replaced by key: the newest of the new rows win, the others stay."""
+    row = lambda add, at: a.star(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("file_id"), F.lit(1).alias("day_of_month"), F.lit(1).alias("month"), (F.col("s_nationkey") + add).cast("double").alias("n"), F.lit(at).alias("updated_at"))
+    new = row(100.0, "b").where("file_id % 3 = 0").unionByName(row(200.0, "c").where("file_id % 6 = 0"))
+    return registry.upsert_features(row(0.0, "a"), new).select("file_id", "month", "n", "updated_at")
 
 
 @query("select i frame from range(0, 40) t(i) where i % 7 <> 3")
@@ -647,15 +778,8 @@ def missing_frames(spark, sf):
     return frames.missing(expected, expected.where("frame % 7 = 3")).select("frame")
 
 
-@query("select l_suppkey, round(list_sort(list(l_quantity))[ceil(0.98 * count(*))::int], 6) ceiling from lineitem where l_suppkey = 1 group by 1")
-def colour_ceiling(spark, sf):
-    line = a.star(spark, sf, "lineitem", "l_suppkey", "l_quantity").where("l_suppkey = 1")
-    return lookups.colour_ceiling(line, "l_quantity").select(F.lit(1).cast("bigint").alias("l_suppkey"), _r("ceiling").alias("ceiling"))
-
-
 @query("select round(list_sort(list(l_quantity))[ceil(0.98 * count(*))::int], 6) ceiling from lineitem where l_quantity is not null")
-def colour_ceiling_all(spark, sf):
-    """The whole table; ``colour_ceiling`` is the same for one supplier."""
+def colour_ceiling(spark, sf):
     return lookups.colour_ceiling(a.star(spark, sf, "lineitem", "l_quantity"), "l_quantity").select(_r("ceiling").alias("ceiling"))
 
 

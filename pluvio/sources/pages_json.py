@@ -1,6 +1,6 @@
 """Page transcriptions: one JSON object a page, with ``Day 1`` to ``Day 31`` and ``Totals``, twelve months of five members each.
 
-All of it is DataFrame work: the text becomes a map of arrays of strings, since a member is a number, null or ``missing``.
+All of it is DataFrame work. A member is a number, null or ``missing``: variants keep a number apart from its text in quotes.
 """
 
 from __future__ import annotations
@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .. import stored
 from ..functions import text
 
 MONTHS, MEMBERS = 12, 5
-_GRID = "map<string,array<struct<values:array<string>>>>"
+_GRID = "map<string,array<struct<values:array<variant>>>>"
 _KEY = r"^(Totals|Day ([1-9]|[12][0-9]|3[01]))$"
 
 
@@ -26,20 +27,35 @@ def _missing(v: Column) -> Column:
     return F.coalesce(F.lower(F.trim(v)) == "missing", F.lit(False))
 
 
+def _kind(v: Column) -> Column:
+    """number (true and false count as 1 and 0), text or nothing."""
+    t = F.schema_of_variant(v)
+    return F.when(v.isNull() | (t == "VOID"), "nothing").when(t == "STRING", "text").when(t.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | t.startswith("DECIMAL"), "number").otherwise("other")
+
+
+def _text(v: Column) -> Column:
+    """A number's digits, or the text; null for nothing."""
+    number = F.coalesce(F.try_variant_get(v, "$", "boolean").cast("int").cast("string"), F.try_variant_get(v, "$", "string"))
+    return F.when(F.schema_of_variant(v) == "BOOLEAN", number).when(_kind(v) != "nothing", F.try_variant_get(v, "$", "string"))
+
+
 def parse(files: DataFrame) -> DataFrame:
-    """files with ``grid`` and ``error``: null for a page that parses, else what is wrong with it."""
-    grid = F.from_json("content", _GRID, {"mode": "PERMISSIVE"})
-    parsed = files.withColumn("grid", grid)
-    slots = F.flatten(F.map_values("grid"))
-    odd_key = F.exists(F.map_keys("grid"), lambda k: ~k.rlike(_KEY))
-    odd_slots = F.exists(F.map_values("grid"), lambda v: v.isNull() | (F.size(v) != MONTHS))
+    """files with ``grid`` and ``error``: null for a page that parses, else what is wrong with it.
+
+    A number in quotes is no number; no text but ``missing`` (in any case, with blanks around it) is allowed."""
+    typed = F.from_json("content", _GRID, {"mode": "PERMISSIVE"})
+    as_text = lambda _, row: F.transform(row, lambda s: F.struct(F.transform(s["values"], _text).alias("values")))
+    parsed = files.withColumn("typed", typed).withColumn("grid", F.transform_values("typed", as_text))
+    slots = F.flatten(F.map_values("typed"))
+    odd_key = F.exists(F.map_keys("typed"), lambda k: ~k.rlike(_KEY))
+    odd_slots = F.exists(F.map_values("typed"), lambda v: v.isNull() | (F.size(v) != MONTHS))
     odd_members = F.exists(slots, lambda s: s.isNull() | s["values"].isNull() | (F.size(s["values"]) != MEMBERS))
-    odd_value = F.exists(F.flatten(F.transform(slots, lambda s: s["values"])), lambda v: v.isNotNull() & ~_missing(v) & v.try_cast("double").isNull())
+    odd_value = F.exists(F.flatten(F.transform(slots, lambda s: s["values"])), lambda v: ~_kind(v).isin("nothing", "number") & ~((_kind(v) == "text") & _missing(_text(v))))
     error = (
-        F.when(F.col("grid").isNull() | (F.size("grid") == 0), "no JSON object of months").when(odd_key, "unexpected key").when(odd_slots, f"a row without {MONTHS} months")
+        F.when(F.col("typed").isNull() | (F.size("typed") == 0), "no JSON object of months").when(odd_key, "unexpected key").when(odd_slots, f"a row without {MONTHS} months")
         .when(odd_members, f"a month without {MEMBERS} values").when(odd_value, "a value that is no number")
     )
-    return parsed.withColumn("error", error)
+    return parsed.withColumn("error", error).drop("typed")
 
 
 def _cells(good: DataFrame, wanted: Column) -> DataFrame:
@@ -53,8 +69,9 @@ def with_ids(parsed: DataFrame) -> DataFrame:
 
     Ids are dense, so the order is global; it is taken over paths alone: ranges of paths are counted, then numbered each by itself."""
     good = parsed.where("error is null")
-    spread = good.select("source_path").distinct().repartitionByRange(max(1, good.sparkSession.sparkContext.defaultParallelism), "source_path").withColumn("part", F.spark_partition_id())
-    spread = spread.persist()
+    n = max(1, good.sparkSession.sparkContext.defaultParallelism)
+    # written, so that a range that is computed again keeps its bounds
+    spread = stored.stored(good.select("source_path").distinct().repartitionByRange(n, "source_path").withColumn("part", F.spark_partition_id()), "page_paths")
     sizes = spread.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     numbered = spread.join(F.broadcast(before), "part").withColumn("file_id", (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("source_path"))).cast("bigint")).drop("part", "before")

@@ -6,45 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import qc, text
+from . import files
 from .tables import years as _years
 
 HEADER_LINES = 12
 
 
 def write(docs: DataFrame, root: str) -> None:
-    """One file a station-year: ``<root>/tsv/<year>/<station_id>.tsv``. ``docs``: year, station_id, content.
+    """One file a station-year: ``<root>/tsv/<year>/<station_id>.tsv``. ``docs``: year, station_id, content. Years that occur are replaced whole, once all is written."""
+    files.write(docs.select(F.col("year").alias("folder"), F.col("station_id").alias("name"), "content"), f"{root}/tsv", ".tsv")
 
-    The texts are written by Spark's committer, in a folder for each file, and then moved to their names; a task that runs twice
-    leaves one file. Years that occur are cleared before. The moves are the driver's: one a station-year, metadata only."""
-    spark = docs.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for (year,) in docs.select("year").distinct().collect():  # some hundred years at most
-        p = jvm.org.apache.hadoop.fs.Path(f"{root}/tsv/{year}")
-        p.getFileSystem(conf).delete(p, True)
-    staged = f"{root}/_staged"
-    docs.select("content", "year", "station_id").write.mode("overwrite").partitionBy("year", "station_id").option("lineSep", "\n").text(staged)
-    src = jvm.org.apache.hadoop.fs.Path(staged)
-    fs = src.getFileSystem(conf)
-    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    for y in fs.listStatus(src):
-        if not y.isDirectory():
-            continue
-        year = y.getPath().getName().split("=", 1)[1]
-        target = jvm.org.apache.hadoop.fs.Path(f"{root}/tsv/{year}")
-        fs.mkdirs(target)
-        for s in fs.listStatus(y.getPath()):
-            name = unescape(s.getPath().getName().split("=", 1)[1])
-            for f in fs.listStatus(s.getPath()):
-                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"{name}.tsv"))
-    fs.delete(src, True)
 
-
-def observations(files: DataFrame) -> DataFrame:
+def observations(texts: DataFrame) -> DataFrame:
     """The ``observations`` table from files' whole text (column ``value``). Files without position, lines with fewer than eight fields
     and impossible dates are left out; NA is null."""
     lines = F.split("value", "\n")
     head = F.map_from_entries(F.transform(F.slice(lines, 1, HEADER_LINES), lambda s: F.struct(F.element_at(F.split(s, "\t", 2), 1), F.coalesce(F.get(F.split(s, "\t", 2), F.lit(1)), F.lit("")))))
-    rows = files.where(F.size(lines) > HEADER_LINES + 1).select(head.alias("head"), F.explode(F.slice(lines, HEADER_LINES + 2, F.size(lines))).alias("line")).withColumn("f", F.split("line", "\t")).where(F.size("f") >= 8)
+    rows = texts.where(F.size(lines) > HEADER_LINES + 1).select(head.alias("head"), F.explode(F.slice(lines, HEADER_LINES + 2, F.size(lines))).alias("line")).withColumn("f", F.split("line", "\t")).where(F.size("f") >= 8)
     named = lambda k: F.element_at("head", k)
     part = lambda i: F.trim(F.get("f", F.lit(i)))
     q1, q2 = text.meta_value(part(7), "qc1"), text.meta_value(part(7), "qc2")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +85,16 @@ def newest_sessions(df: DataFrame, *columns: str) -> DataFrame:
     """The rows of the newest combination of session columns, the first column first."""
     newest = df.agg(F.max(F.struct(*columns)).alias("s")).select("s.*")
     return df.join(F.broadcast(newest), list(columns), "left_semi")
+
+
+def preferred(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The merged file of the newest sessions (``<root>/<name>/merged/session_meta<M>_qc<Q>.parquet``), or else the whole folder.
+
+    Newest by the metadata session, then by the check's."""
+    fs, p = _fs(spark, f"{root}/{name}/merged")
+    found = []
+    if fs.exists(p):
+        for s in fs.listStatus(p):
+            if m := re.fullmatch(r"session_meta(\d+)_qc(\d+)\.parquet", s.getPath().getName()):
+                found.append((int(m[1]), int(m[2]), s.getPath().toString()))
+    return read_files(spark, name, max(found)[2]) if found else read(spark, root, name)

@@ -1,37 +1,31 @@
-"""Functions for Python workers that may not have this package on their path."""
+"""Functions for Python workers on machines that do not have this package."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
-ROOT = str(Path(__file__).parents[1])
+PACKAGE = Path(__file__).parent
 
 
-def portable(f: Callable) -> Callable:
-    """``f`` of one argument, or of a key and two groups, as a function that finds this package before it unpickles f.
-
-    Nothing in it refers to this module, so that a worker can load it without an import."""
-    data, root, many = cloudpickle.dumps(f), ROOT, f.__code__.co_argcount if hasattr(f, "__code__") else 1
-
-    def load():
-        import pickle
-        import sys
-
-        if root not in sys.path:
-            sys.path.append(root)
-        return pickle.loads(data)
+def ship(spark: SparkSession) -> None:
+    """Sends this package to every executor, once an application, through Spark's own file server."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pluvio_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="pluvio-package-")) / f"{PACKAGE.name}.zip"  # the driver's own copy, served from here
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(PACKAGE.rglob("*.py")):
+            z.write(source, source.relative_to(PACKAGE.parent))
+    sc.addPyFile(str(archive))
+    sc._pluvio_shipped = True
 
-    if many == 3:
 
-        def grouped(key, left, right):
-            return load()(key, left, right)
-
-        return grouped
-
-    def mapped(it):
-        return load()(it)
-
-    return mapped
+def portable(f: Callable) -> Callable:
+    """``f`` for workers of the active session, after its package has been sent to them."""
+    ship(SparkSession.getActiveSession())
+    return f

@@ -28,9 +28,9 @@ def test_files_of_the_exchange(spark):
 
 def test_whole_tables_are_read(spark):
     days = catalog.a.member_days(spark, SF).where("rainfall is not null").select("file_id").distinct().count()
-    got = catalog.QUERIES["map_consensus_all"](spark, SF)
+    got = catalog.QUERIES["map_consensus"](spark, SF)
     assert got.select("file_id").distinct().count() == days > 0
-    assert catalog.QUERIES["colour_ceiling_all"](spark, SF).count() == 1
+    assert catalog.QUERIES["colour_ceiling"](spark, SF).count() == 1
 
 
 def test_second_check_trains_with_the_defaults(spark, monkeypatch):

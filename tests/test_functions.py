@@ -90,3 +90,26 @@ def test_arg_max_takes_the_least_of_equals_and_skips_null_payloads(spark):
 def test_distance(spark):
     km = one(spark, geo.equirectangular_km(F.lit(51.0), F.lit(0.0), F.lit(52.0), F.lit(0.0)).alias("d")).d
     assert math.isclose(km, 6371 * math.radians(1), rel_tol=1e-12)
+
+
+def test_statistics_of_long_arrays_are_computed_once(spark):
+    """A lambda that recomputed the median for every element would take minutes here."""
+    import statistics
+    import time
+
+    n = 1000
+    v = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.pmod(F.xxhash64(i, F.col("id")), F.lit(100_003)) / 7.0)
+    df = spark.range(40).select("id", v.alias("v")).repartition(4)
+    began = time.time()
+    got = df.select("v", arrays.mad(F.col("v")).alias("mad"), arrays.stdev(F.col("v")).alias("sd"), arrays.robust_scale(F.col("v")).alias("s"), arrays.iqr(F.col("v")).alias("iqr")).collect()
+    assert time.time() - began < 30
+    for r in got[:3]:
+        m = statistics.median(r.v)
+        want = statistics.median(abs(x - m) for x in r.v)
+        assert math.isclose(r.mad, want) and math.isclose(r.sd, statistics.stdev(r.v)) and math.isclose(r.s[5], (r.v[5] - m) / want)
+        assert math.isclose(r.iqr, statistics.median(sorted(r.v)[500:]) - statistics.median(sorted(r.v)[:500]))
+
+
+def test_all_equal(spark):
+    r = one(spark, *(arrays.all_equal(arr(*v)).alias(f"c{i}") for i, v in enumerate(((2.0, 2.0, 2.0), (2.0, None, 2.0), (2.0, 3.0), ()))))
+    assert list(r) == [True, False, False, False]

@@ -156,3 +156,24 @@ def test_map_consensus_of_a_range(spark):
     df = spark.createDataFrame([(i, 1, 1, float(i)) for i in range(1, 7)], "file_id long, month int, day_of_month int, rainfall double")
     ids = lambda *r: sorted(x.file_id for x in consensus.daily_for_maps(df, *r).collect())
     assert ids() == [1, 2, 3, 4, 5, 6] and ids(2, 4) == [2, 3, 4] and ids(5) == [5, 6] and ids(None, 2) == [1, 2]
+
+
+def test_match_in_blocks_is_the_match_at_once(spark):
+    import random
+
+    rnd = random.Random(9)
+    monthly, st = _stations(spark, [(1900, [rnd.choice([0.0, 1.0, 2.5, 3.0]) for _ in range(12)]) for _ in range(25)])
+    totals, files = _pages(spark, {p: [rnd.choice([0.0, 1.0, 2.5, 3.01]) for _ in range(12)] for p in range(1, 7)})
+    rr = vectors.station_years(monthly, st)
+    run = lambda block: sorted(map(tuple, match.top_k(vectors.member_values(totals), vectors.pages(totals, files), rr, k=4, block=block).collect()))
+    whole = run(1000)
+    assert len(whole) == 24 and run(7) == whole
+
+
+def test_match_without_stations_or_pages(spark):
+    monthly, st = _stations(spark, [(1900, [1.0] * 12)])
+    totals, files = _pages(spark, {1: [1.0] * 12})
+    rr = vectors.station_years(monthly, st)
+    members, pages = vectors.member_values(totals), vectors.pages(totals, files)
+    assert match.top_k(members, pages, rr.limit(0)).count() == 0
+    assert match.top_k(members.limit(0), pages, rr).count() == 0

@@ -44,7 +44,7 @@ def test_station_tables(spark, tmp_path):
 
 
 def _page(**change):
-    cell = {"values": [0.1, "0.2", None, " Missing ", 0.12]}
+    cell = {"values": [0.1, 0.2, None, " Missing ", 0.12]}
     page = {"Day 1": [cell] * 12, "Day 31": [cell] * 12, "Totals": [cell] * 12}
     page.update(change)
     return json.dumps(page)
@@ -127,3 +127,41 @@ def test_streams(spark, tmp_path):
     streams.ingest(spark, *args).awaitTermination()
     out = spark.read.parquet(args[1])
     assert out.count() == 240 and out.select("file_id").distinct().count() == 2
+
+
+def test_numbers_in_quotes_are_refused(spark):
+    import json
+
+    def page(member):
+        return json.dumps({"Totals": [{"values": [member, 1, None, " Missing ", 2.5]}] * 12})
+
+    cases = {"plain": 1.5, "quoted": "1.5", "true": True, "word": "none", "nested": [1], "nothing": None}
+    df = spark.createDataFrame([(f"/p/{k}.json", k, page(v)) for k, v in cases.items()], "source_path string, file_name string, content string")
+    parsed = pages_json.parse(df)
+    assert {r.file_name: r.error for r in parsed.collect()} == {k: None if k in ("plain", "true", "nothing") else "a value that is no number" for k in cases}
+    t = pages_json.tables(parsed)["ensemble_monthly_totals"]
+    first = {r.file_id: (r.total, r.is_missing) for r in t.where("month = 1 and ensemble_member = 1").collect()}
+    assert first == {1: (None, 0), 2: (1.5, 0), 3: (1.0, 0)}
+    assert {(r.total, r.is_missing) for r in t.where("ensemble_member = 4").collect()} == {(None, 1)}
+
+
+def test_newest_merged_file_else_the_folder(spark, tmp_path):
+    name, root = "regional_daily_stats", str(tmp_path)
+    row = lambda meta, qc: tables.conform(spark.createDataFrame([(1, meta, qc)], "file_id long, metadata_session_id long, qc_session_id long"), name)
+    row(1, 1).write.parquet(f"{root}/{name}")
+    assert tables.preferred(spark, root, name).count() == 1
+    for meta, qc in ((2, 9), (10, 3), (10, 1)):
+        row(meta, qc).write.parquet(f"{root}/{name}/merged/session_meta{meta}_qc{qc}.parquet")
+    got = tables.preferred(spark, root, name).first()
+    assert (got.metadata_session_id, got.qc_session_id) == (10, 3)
+
+
+def test_a_failed_export_leaves_the_old_files(spark, tmp_path):
+    root = str(tmp_path / "sef")
+    docs = spark.createDataFrame([(1901, "a", "one\n"), (1902, "b", "two\n")], "year int, station_id string, content string")
+    sef.write(docs, root)
+    with pytest.raises(Exception, match="broken"):
+        sef.write(docs.withColumn("content", F.raise_error(F.lit("broken")).cast("string")), root)
+    assert (tmp_path / "sef/tsv/1901/a.tsv").read_text() == "one\n"
+    sef.write(docs.where("year = 1901").withColumn("station_id", F.lit("c")), root)
+    assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()) == ["sef/tsv/1901/c.tsv", "sef/tsv/1902/b.tsv"]
