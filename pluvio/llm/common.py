@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..stored import stored
 from ..workers import portable
 
 _M64 = (1 << 64) - 1
@@ -29,29 +28,18 @@ def bound_arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); one of our own only where none is set, as in tests."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = found.get() if found.isDefined() else None
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="pluvio-checkpoint-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back. The table goes when the application ends; results may read it until then."""
+    bound_arrow_batches(df.sparkSession)
+    return stored(df, name)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage is cut and a lost executor loses nothing.
+def buckets_for(df: DataFrame, least: int, bytes_each: int, most: int = 1 << 15) -> int:
+    """How many buckets hold ``df`` with about ``bytes_each`` of its files in each; sources of unknown size get ``least``.
 
-    The table goes when the application ends; results may read it until then."""
-    spark = df.sparkSession
-    bound_arrow_batches(spark)
-    folder = f"{shared_dir(spark)}/pluvio-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(f"{folder}/{name}")
-    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    The size is the planner's, which takes it from the files; nothing is read."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return least if size > 1 << 58 else min(most, max(least, -(-size // bytes_each)))
 
 
 def release_memory() -> None:
@@ -165,8 +153,43 @@ def shingle_hashes(words: np.ndarray, width: int = 5) -> np.ndarray:
     return mix64(z)
 
 
+def batch_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of all texts of a batch, in order, and where each text's words begin (and the last one's end)."""
+    parts = [x or b"" for x in texts.cast(pa.binary()).to_pylist()]
+    starts = np.cumsum([0, *(len(x) + 1 for x in parts)])
+    h, s, _ = word_hashes(b"\n".join(parts), lower)
+    return h, np.searchsorted(s, starts)
+
+
+def batch_shingles(words: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_hashes`` of all texts of a batch at once, and where each text's begin."""
+    n = np.diff(first)
+    many = np.where(n >= width, n - width + 1, np.minimum(n, 1))
+    begin = np.concatenate(([0], np.cumsum(many)))
+    out = np.empty(begin[-1], np.uint64)
+    short = np.flatnonzero((n > 0) & (n < width))
+    whole = np.ones(len(out), np.bool_)
+    whole[begin[short]] = False
+    if len(words) >= width:
+        z = words[: len(words) - width + 1] * _SHINGLE[0]
+        for k in range(1, width):
+            z = z + words[k : len(words) - width + 1 + k] * _SHINGLE[k]
+        out[whole] = mix64(z[(np.arange(len(words)) + width <= np.repeat(first[1:], n))[: len(z)]])
+    for k in range(1, width):
+        at = short[n[short] == k]
+        if len(at):
+            rows = words[first[at][:, None] + np.arange(k)]
+            out[begin[at]] = mix64((rows * _SHINGLE[:k]).sum(axis=1, dtype=np.uint64) + np.uint64(k))
+    return out, begin
+
+
+def bitmap_bits(count: int, least: int = 1 << 20, most: int = 1 << 28) -> int:
+    """A power of two with 32 bits or more a key, between ``least`` and ``most`` (32 MB)."""
+    return min(most, max(least, 1 << max(0, count * 32 - 1).bit_length()))
+
+
 def bitmap_of(df: DataFrame, lane: Column, bits: int) -> np.ndarray:
-    """A bitmap of ``bits`` bits, set where ``lane`` (a long) falls; its size is fixed, whatever the rows' number.
+    """A bitmap of ``bits`` bits, set where ``lane`` (a long) falls; its size is bounded, whatever the rows' number.
 
     It may only be used where a false positive costs time and nothing else."""
     at = df.select(F.pmod(lane, F.lit(bits)).alias("at"))
