@@ -49,3 +49,16 @@ def keep(df: DataFrame, name: str) -> tuple[DataFrame, Kept]:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``keep`` for a table that a returned result still reads."""
     return keep(df, name)[0]
+
+
+def bucketed(df: DataFrame, column: str, buckets: int, name: str) -> DataFrame:
+    """``df`` written in buckets of a column, one file each, so that joins on it do not shuffle it any more.
+
+    A table of the session's catalog whose files lie in the shared folder; they go when the application ends."""
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    folder = f"{shared_dir(spark)}/pluvio-{mark}"
+    table = f"pluvio_{name}_{mark}"
+    df.repartition(buckets, column).write.format("parquet").bucketBy(buckets, column).sortBy(column).option("compression", "zstd").option("path", f"{folder}/{name}").saveAsTable(table)
+    Kept(spark, folder)
+    return spark.table(table)
