@@ -16,12 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, bitmap_of, in_bitmap, mapped, materialize, random_lanes
+from .common import batches, bitmap_bits, bitmap_of, buckets_for, in_bitmap, mapped, materialize, partitions, random_lanes
 
 GEAR = (random_lanes(41, 256) >> np.uint64(32)).astype(np.uint32)
 LEAST, MASK, MOST = 2048, np.uint32((1 << 13) - 1 << 19), 65536  # bytes of a chunk: 2 KB, 10 KB on average, 64 KB
 UNIT, MAGIC = 64, b"CDC1"
-SHARED_BITS = 1 << 23
 _BATCH_BYTES = 4 << 20
 
 
@@ -94,9 +93,7 @@ def feature_of(payload: bytes) -> str:
     return f"sum={int((counts * np.arange(256)).sum())};entropy={abs(float(-(p * np.log2(p)).sum())):.4f};bands=" + "-".join(map(str, top))
 
 
-_DIGEST = "doc_key long, digest binary"
 RESULT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_chunks long, n_shared long"
-_NAMES = [x.split()[0] for x in RESULT.split(", ")]
 
 
 def _result(doc_id: int | None, n_bytes: int, manifest: bytes, store: dict[bytes, bytes], shared: int) -> tuple:
@@ -127,57 +124,75 @@ def _digests(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())], ["lane", "n"])
 
 
-def store_and_read(docs: DataFrame) -> DataFrame:
-    """Stores every text's payload as chunks, each distinct chunk once, reads all back and computes features.
-
-    First pass: digests only; those that more than one payload (or place) refers to go into a bitmap of fixed size. Second
-    pass: a payload whose chunks are all referred to once is written and read in its own task, since its chunks belong to
-    no other record. All others send their chunks to the store: chunks meet by digest, one copy stays, ordered lists are
-    joined with it and payloads rebuilt from what the store holds. A false positive of the bitmap sends a record the longer
-    way and changes nothing else. Null text: empty. Empty payloads are 64 zero bytes. Equal texts give equal values; rows with
-    equal or null ids are kept apart by a key."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lanes = rows.select("text").transform(mapped, _digests, "lane long, n long").groupBy("lane").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = bitmap_of(lanes, F.col("lane"), SHARED_BITS)
+_STORED = "doc_id long, n_bytes long, key string, manifest binary, own array<binary>, place int, digest binary, length int, chunk binary"
+_STORED_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("key", pa.string()), ("manifest", pa.binary()), ("own", pa.list_(pa.binary())), ("place", pa.int32()), ("digest", pa.binary()), ("length", pa.int32()), ("chunk", pa.binary())]
+)
+
+
+def _cut(shared: np.ndarray):
+    """What the store holds: for a payload that shares nothing, its list and its chunks; else a row for each of its chunks."""
 
-    def split(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Results of records that share nothing; list and chunks of the others, as rows with ``place``."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(it, _BATCH_BYTES):
-            done, sent = [], []
+            rows: list[tuple] = []
             for doc_id, text, key in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 n, payload = payload_of(text)
                 parts = [(hashlib.sha256(c).digest(), c) for c in chunks_of(payload)]
                 hits = in_bitmap(shared, np.array([int.from_bytes(d[:8], "little") for d, _ in parts], np.uint64).view(np.int64))
-                manifest = manifest_of([(d, len(c)) for d, c in parts])
-                if not hits.any():
-                    done.append(_result(doc_id, n, manifest, dict(parts), 0))
+                if hits.any():
+                    rows += [(doc_id, n, key, None, None, i, d, len(c), c) for i, (d, c) in enumerate(parts)]
                 else:
-                    sent += [(doc_id, key, n, i, d, len(c), c) for i, (d, c) in enumerate(parts)]
-            base = _rows(done)
-            own = pa.RecordBatch.from_arrays([*base.columns, *(pa.nulls(base.num_rows, t) for t in _SENT)], names=[*_NAMES, *_SENT_NAMES])
-            yield own
-            if sent:
-                doc, key, n, place, digest, length, chunk = zip(*sent)
-                m = len(sent)
-                cols = [pa.array(doc, pa.int64()), pa.array(n, pa.int64()), *(pa.nulls(m, t) for t in _ARROW.types[2:])]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(key, pa.string()), pa.array(place, pa.int32()), pa.array(digest, pa.binary()), pa.array(length, pa.int32()), pa.array(chunk, pa.binary())], names=[*_NAMES, *_SENT_NAMES])
+                    rows.append((doc_id, n, key, manifest_of([(d, len(c)) for d, c in parts]), [c for _, c in parts], None, None, None, None))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _STORED_ARROW.types)], schema=_STORED_ARROW)
 
+    return run
+
+
+def store(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Writes every text's payload in chunks: the records, and the chunks that several places refer to (digest, chunk, references), each once.
+
+    Both are tables of the shared folder. Digests alone are counted first; those that more than one payload (or place) refers to go into a bitmap of bounded
+    size. Chunks that no other place refers to are stored beside their list; all others meet by digest, and one copy stays. A false positive of the bitmap
+    sends a record's chunks that way and changes nothing else."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    lanes = materialize(rows.select("text").transform(mapped, _digests, "lane long, n long").groupBy("lane").agg(F.sum("n").alias("n")).where("n > 1").select("lane"), "shared_digests")
+    shared = bitmap_of(lanes, F.col("lane"), bitmap_bits(lanes.count()))
     keyed = rows.withColumn("key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.spark_partition_id(), F.monotonically_increasing_id()))
-    halves = materialize(keyed.transform(mapped, split, f"{RESULT}, key string, place int, digest binary, length int, chunk binary"), "media")
-    done = halves.where(F.col("key").isNull()).select(*_NAMES)
-    sent = halves.where(F.col("key").isNotNull())
+    records = materialize(keyed.transform(mapped, _cut(shared), _STORED), "media")
+    sent = records.where(F.col("manifest").isNull())
     # written before it is joined, so that both sides of the join are plain exchanges and a hot chunk's partition can be split
-    store = materialize(sent.groupBy("digest").agg(F.first("chunk").alias("chunk"), F.count(F.lit(1)).alias("references")), "chunk_store")
-    lists = sent.select("doc_id", "n_bytes", "key", "place", "digest", "length")
-    fetched = lists.join(store, "digest")
-    n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    chunks = materialize(sent.groupBy("digest").agg(F.first("chunk").alias("chunk"), F.count(F.lit(1)).alias("references")), "chunk_store")
+    return records, chunks
+
+
+def read_back(records: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Payloads rebuilt from the store, every chunk checked, and their features. A missing or damaged chunk fails each record that uses it."""
+    own = records.where(F.col("manifest").isNotNull()).select("doc_id", "n_bytes", "manifest", "own").transform(mapped, _read_own, RESULT)
+    lists = records.where(F.col("manifest").isNull()).select("doc_id", "n_bytes", "key", "place", "digest", "length")
+    fetched = lists.join(chunks, "digest", "left")
+    n = buckets_for(records, max(8, partitions(records.sparkSession)), 8 << 20)
     rebuilt = fetched.select("key", "doc_id", "n_bytes", "place", "digest", "length", "chunk", "references").repartition(n, "key").sortWithinPartitions("key", "place").transform(mapped, _rebuild, RESULT)
-    return done.unionByName(rebuilt)
+    return own.unionByName(rebuilt)
+
+
+def store_and_read(docs: DataFrame) -> DataFrame:
+    """Stores every text's payload as chunks, each distinct chunk once, reads all of them back and computes features.
+
+    media_bytes and media_sha256 are those of the stored form: the ordered chunk list, then the chunks in its order. Null text: empty. Empty payloads are 64
+    zero bytes. Equal texts give equal values; rows with equal or null ids are kept apart by a key. An empty table gives an empty result."""
+    return read_back(*store(docs))
 
 
-_SENT = [pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
-_SENT_NAMES = ["key", "place", "digest", "length", "chunk"]
+def _read_own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in it:
+        out = []
+        for doc_id, n, manifest, own in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            listed = read_manifest(manifest)
+            if len(listed) != len(own):
+                raise ValueError(f"{len(listed)} chunks are listed, {len(own)} are stored")
+            out.append(_result(doc_id, n, manifest, {d: c for (d, _), c in zip(listed, own)}, 0))
+        yield _rows(out)
 
 
 def _rebuild(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,8 +209,8 @@ def _rebuild(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if key is not None:
                     close()
                 key, head, parts, shared = k, (doc, n_bytes), [], 0
-            parts.append((digest, length, chunk))
-            shared += refs > 1
+            parts.append((digest, length, chunk if chunk is not None else b""))
+            shared += (refs or 0) > 1
         if len(out) >= 500:
             yield _rows(out)
             out = []

@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding with seeded merge-dropout.
 
 Pieces are made by merges: the pair of neighbours whose union has the best score merges first, the leftmost of equals. With
-dropout, each candidate merge is skipped when a keyed hash of the seed, the word's variant, the word and the candidate's place falls
-below the rate, so a text gets another segmentation in every variant and the same one in every run. Any segmentation
+dropout, each candidate merge is skipped when a keyed hash of the seed, the doc_id, the word's place in the text and the candidate's
+place in the word falls below the rate: every occurrence of a word is drawn by itself, and every run draws alike. Any segmentation
 decodes to the text: what has no piece becomes byte pieces. Vocabulary files are read, never trained; their path is a parameter.
 """
 
@@ -10,21 +10,22 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, mapped, mix64
 
 SPACE = "▁"
-DROPOUT, VARIANTS, SEED = 0.1, 4, 17
-CACHE_WORDS, LONG_WORD = 160_000, 40
+DROPOUT, SEED = 0.1, 17
+LONG_WORD, ROWS = 40, 20_000
 _NONE = np.int32(2**31 - 1)
-_MULTIPLE_SPACES = re.compile(" +[^ ]+| +$")
+_STRANGE = 1 << 24  # symbols from here on are characters that no piece holds
 
 
 def default_model() -> str:
@@ -43,6 +44,8 @@ class Pieces:
         n = sp.get_piece_size()
         names = [sp.id_to_piece(i) for i in range(n)]
         usable = [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)) for i in range(n)]
+        if n > 1 << 16:
+            raise ValueError(f"{path} has {n} pieces; ids are stored in 16 bits")
         self.size = n
         self.bytes_of = [b""] * n
         self.byte_ids = [0] * 256
@@ -102,88 +105,114 @@ class Pieces:
         place = (begin.astype(np.uint64) << np.uint64(42)) | (middle.astype(np.uint64) << np.uint64(21)) | end.astype(np.uint64)
         return (mix64(mix64(place) + lane) >> np.uint64(32)) < np.uint64(int(rate * 2**32))
 
-    def lanes(self, words: list[str], variant: int, seed: int) -> np.ndarray:
-        key = np.uint64(seed * 1000003 + variant)
-        digests = b"".join(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest() for w in words)
-        return mix64(np.frombuffer(digests, np.uint64) + mix64(np.array([key], np.uint64)))
-
-    def encode_words(self, words: list[str], variant: int = 0, rate: float = 0.0, seed: int = SEED) -> list[bytes]:
-        """Piece ids (uint16, little-endian bytes) of each word; a space in a word stands for the vocabulary's own mark."""
-        out: list[bytes] = [b""] * len(words)
-        lanes = self.lanes(words, variant, seed)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for length, at in by_length.items():
-            if length > LONG_WORD:
-                for i in at:
-                    out[i] = self._ids(self._agenda(words[i], lanes[i : i + 1], rate), words[i])
-            elif length:
-                for k in range(0, len(at), 20000):
-                    self._encode_equal(words, at[k : k + 20000], length, lanes, rate, out)
-        return out
-
-    def _ids(self, spans: list[tuple[int, int, int]], word: str) -> bytes:
+    def encode_points(self, points: np.ndarray, starts: np.ndarray, lanes: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of all words, one after the other, and where each word's begin.
+
+        ``points`` are the words' code points, with a space for the vocabulary's own mark; ``starts`` where each word begins, and the end."""
+        distinct = np.flatnonzero(np.bincount(points, minlength=1))
+        ids = np.array([self.chars.get(chr(c), _STRANGE + i) for i, c in enumerate(distinct)], np.int64)
+        dense = np.zeros(int(distinct[-1]) + 1 if len(distinct) else 1, np.int32)
+        dense[distinct] = np.arange(len(distinct))
+        place = dense[points]
+        first = self.merges(np.repeat(ids, len(ids)), np.tile(ids, len(ids))) if len(ids) <= 1024 else None
+        symbols = ids.astype(np.int32)[place]
+        length = np.diff(starts)
+        many = np.zeros(len(length), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, and their ids row by row with a mask
+        order = np.argsort(length, kind="stable")
+        cuts = np.searchsorted(length[order], np.arange(1, LONG_WORD + 2))
+        for n, (i, j) in enumerate(zip(cuts, cuts[1:]), 1):
+            for k in range(i, j, ROWS):
+                words = order[k : min(k + ROWS, j)]
+                at = starts[words][:, None] + np.arange(n)
+                s = symbols[at]
+                if n > 1:
+                    if first is not None:
+                        pair = place[at[:, :-1]].astype(np.int64) * len(ids) + place[at[:, 1:]]
+                        rank, piece = first[0][pair], first[1][pair]
+                    else:
+                        rank, piece = self.merges(s[:, :-1], s[:, 1:])
+                    alive, after = self._merge(s, rank, piece, lanes[words], rate)
+                else:
+                    alive, after = np.ones(s.shape, np.bool_), np.ones(s.shape, np.int64)
+                odd = np.flatnonzero(((s >= self.size) & alive).any(axis=1))
+                if len(odd):
+                    for r in odd.tolist():
+                        spans = [(int(s[r, c]), c, int(after[r, c])) for c in np.flatnonzero(alive[r])]
+                        parts.append((words[r : r + 1], *self._spelled(spans, points[at[r]])))
+                    plain = np.setdiff1d(np.arange(len(words)), odd)
+                    words, s, alive = words[plain], s[plain], alive[plain]
+                parts.append((words, s, alive))
+        for w in order[cuts[-1] :].tolist():
+            own = points[starts[w] : starts[w + 1]]
+            parts.append((np.array([w]), *self._spelled(self._agenda(_text(own), lanes[w : w + 1], rate), own)))
+        for words, _, alive in parts:
+            many[words] = alive.sum(axis=1)
+        begin = np.concatenate(([0], np.cumsum(many)))
+        out = np.empty(begin[-1], np.uint16)
+        for words, s, alive in parts:
+            to = begin[words][:, None] + np.cumsum(alive, axis=1) - 1
+            out[to[alive]] = s[alive]
+        return out, begin
+
+    def _spelled(self, spans: list[tuple[int, int, int]], points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One row of ids; a symbol that is no piece becomes its bytes."""
         ids: list[int] = []
         for symbol, a, b in spans:
-            ids += [symbol] if 0 <= symbol < self.size else [self.byte_ids[x] for x in word[a:b].encode("utf-8", "surrogatepass")]
-        return np.array(ids, "<u2").tobytes()
-
-    def _encode_equal(self, words, at, length, lanes, rate, out) -> None:
-        """Words of one length at once: each round merges every unfinished word's best candidate."""
-        points = np.frombuffer("".join([words[i] for i in at]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        distinct, inverse = np.unique(points, return_inverse=True)
-        ids = np.array([self.chars.get(chr(c), -1) for c in distinct], np.int64)
-        unknown = ids < 0
-        ids[unknown] = (1 << 24) + np.flatnonzero(unknown)  # no merge knows it
-        s = ids[inverse].reshape(len(at), length).astype(np.int32)
-        b = np.broadcast_to(np.arange(length, dtype=np.int32), s.shape).copy()
-        who, lane = np.array(at), lanes[at]
-        rank, piece = self.merges(s[:, :-1], s[:, 1:])
-        if rate and length > 1:
-            rank[self._skipped(lane[:, None], b[:, :-1], b[:, 1:], b[:, 1:] + 1, rate)] = _NONE
-        while True:
-            width = s.shape[1]
-            if width > 1:
-                j = rank.argmin(axis=1)
-                live = rank[np.arange(len(s)), j] != _NONE
-            else:
-                live = np.zeros(len(s), np.bool_)
-            done = np.flatnonzero(~live)
-            if len(done):
-                final, plain = s[done], (s[done] < self.size).all(axis=1)
-                packed = final.astype("<u2")
-                for row, (i, ok) in enumerate(zip(who[done].tolist(), plain.tolist())):
-                    if ok:
-                        out[i] = packed[row].tobytes()
-                    else:
-                        ends = [*b[done[row]][1:].tolist(), length]
-                        out[i] = self._ids(list(zip(final[row].tolist(), b[done[row]].tolist(), ends)), words[i])
-            if not live.any():
-                return
-            s, b, rank, piece, who, lane, j = (x[live] for x in (s, b, rank, piece, who, lane, j))
-            row, n = np.arange(len(s)), len(s)
-            new = piece[row, j]
-            cols = np.arange(width - 1)[None, :]
-            keep = cols + (cols > j[:, None])
-            s = np.take_along_axis(s, keep, 1)
-            s[row, j] = new
-            b = np.take_along_axis(b, keep, 1)
-            if width == 2:
-                rank, piece = rank[:, :0], piece[:, :0]
-                continue
-            pairs = np.arange(width - 2)[None, :]
-            keep = pairs + (pairs >= j[:, None])
-            rank, piece = np.take_along_axis(rank, keep, 1), np.take_along_axis(piece, keep, 1)
-            for side in (-1, 0):  # the candidates on either side of the new piece
-                p = j + side
-                ok = np.flatnonzero((p >= 0) & (p < width - 2))
-                p = p[ok]
-                r, q = self.merges(s[ok, p], s[ok, p + 1])
-                if rate:
-                    end = np.where(p + 2 < width - 1, b[ok, np.minimum(p + 2, width - 2)], length)
-                    r[self._skipped(lane[ok], b[ok, p], b[ok, p + 1], end, rate)] = _NONE
-                rank[ok, p], piece[ok, p] = r, q
+            ids += [symbol] if 0 <= symbol < self.size else [self.byte_ids[x] for x in _text(points[a:b]).encode("utf-8", "surrogatepass")]
+        return np.array([ids], np.int32), np.ones((1, len(ids)), np.bool_)
+
+    def _merge(self, s: np.ndarray, rank: np.ndarray, piece: np.ndarray, lane: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+        """Words of one length at once, a row each: every round merges each unfinished word's best candidate, in place.
+
+        ``s`` holds a symbol where it begins. Gives where symbols begin, and where the next one does."""
+        n, width = s.shape
+        column = np.arange(width, dtype=np.int64)
+        flat, after, before = s.reshape(-1), np.tile(column + 1, n), np.tile(column - 1, n)
+        alive = np.ones(n * width, np.bool_)
+        wide = np.full((n, width), _NONE, np.int32)
+        wide[:, :-1] = rank
+        made = np.zeros((n, width), np.int32)
+        made[:, :-1] = piece
+        made = made.reshape(-1)
+        if rate:
+            wide[:, :-1][self._skipped(lane[:, None], column[None, :-1], column[None, 1:], column[None, 1:] + 1, rate)] = _NONE
+        base, todo = np.arange(n) * width, np.arange(n)
+        while len(todo):
+            rows = wide if len(todo) == n else wide[todo]
+            j = rows.argmin(axis=1)
+            live = rows[np.arange(len(todo)), j] != _NONE
+            todo, j = todo[live], j[live]
+            if not len(todo):
+                break
+            start = base[todo]
+            at = start + j
+            right = after[at]
+            end = after[start + right]
+            fresh = made[at]
+            flat[at], after[at] = fresh, end
+            alive[start + right] = False
+            ranks = wide.reshape(-1)
+            ranks[start + right] = _NONE
+            ranks[at] = _NONE
+            left = before[at]
+            inner, outer = np.flatnonzero(left >= 0), np.flatnonzero(end < width)
+            before[(start + end)[outer]] = j[outer]
+            i, o = (start + left)[inner], at[outer]
+            a = np.concatenate((flat[i], fresh[outer]))
+            b = np.concatenate((fresh[inner], flat[(start + end)[outer]]))
+            r, q = self.merges(a, b)
+            known = np.flatnonzero(r != _NONE)
+            to = np.concatenate((i, o))[known]
+            r, q = r[known], q[known]
+            if rate and len(known):
+                middle = np.concatenate((j[inner], end[outer]))[known]
+                stop = np.concatenate((end[inner], after[(start + end)[outer]]))[known]
+                which = np.concatenate((todo[inner], todo[outer]))[known]
+                r = np.where(self._skipped(lane[which], to - base[which], middle, stop, rate), _NONE, r)
+            ranks[i] = _NONE
+            ranks[to], made[to] = r, q
+        return alive.reshape(n, width), after.reshape(n, width)
 
     def _agenda(self, word: str, lane: np.ndarray, rate: float) -> list[tuple[int, int, int]]:
         """(symbol, begin, end) of a long word's pieces, by a heap of candidates."""
@@ -220,64 +249,70 @@ class Pieces:
         return data[1:].decode("utf-8", "surrogatepass") if data else ""
 
 
-def words_of(text: str) -> list[str]:
-    """A text's words without the space before each; one of several spaces keeps the rest of them."""
-    if "  " not in text and text[:1] != " " and text[-1:] != " ":
-        return text.split(" ") if text else []
-    return [w[1:] for w in _MULTIPLE_SPACES.findall(" " + text)]
+def _text(points: np.ndarray) -> str:
+    return points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
 
 
-class Encoder:
-    """Encodes texts in one variant each; words seen before come from a bounded cache."""
+def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The code points of all texts, a space before each; where words begin (and the end), and each word's text and number in it.
+
+    A word begins at a space after something else: one of several spaces keeps the others. An empty text has none."""
+    points = np.frombuffer("".join([f" {t}" for t in texts if t]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+    first = np.concatenate(([0], np.cumsum(size)))
+    begins = points == 32
+    begins[1:] &= ~begins[:-1]
+    begins[first[:-1][size > 0]] = True
+    starts = np.flatnonzero(begins)
+    text = np.searchsorted(first, starts, "right") - 1
+    number = np.arange(len(starts)) - np.searchsorted(starts, first)[text]
+    return points, np.append(starts, len(points)), text, number
 
-    def __init__(self, path: str, rate: float = DROPOUT, variants: int = VARIANTS, seed: int = SEED) -> None:
-        self.pieces, self.rate, self.variants, self.seed = Pieces(path), rate, variants, seed
-        self._cache: list[dict[str, bytes]] = [{} for _ in range(variants)]
 
-    def variant_of(self, doc_id: int | None) -> int:
-        key = np.array([(doc_id or 0) & (1 << 64) - 1], np.uint64)
-        return int(mix64(key + np.uint64(self.seed))[0] % np.uint64(self.variants))
+class Encoder:
+    def __init__(self, path: str, rate: float = DROPOUT, seed: int = SEED) -> None:
+        self.pieces, self.rate, self.seed = Pieces(path), rate, seed
 
     def encode(self, texts: list[str], doc_ids: list[int | None]) -> list[np.ndarray]:
-        split = [words_of(t) for t in texts]
-        variant = [self.variant_of(d) for d in doc_ids]
-        for v in set(variant):
-            if len(self._cache[v]) > CACHE_WORDS // self.variants:
-                self._cache[v] = {}
-            cache = self._cache[v]
-            fresh = list({w for words, x in zip(split, variant) if x == v for w in words if w not in cache})
-            cache.update(zip(fresh, self.pieces.encode_words([" " + w for w in fresh], v, self.rate, self.seed)))
-        return [np.frombuffer(b"".join(map(self._cache[v].__getitem__, words)), "<u2") for words, v in zip(split, variant)]
+        points, starts, text, number = words_of(texts)
+        keys = np.array([(d or 0) & (1 << 64) - 1 for d in doc_ids], np.uint64)
+        lanes = mix64(mix64(mix64(keys) + np.uint64(self.seed & (1 << 64) - 1))[text] + number.astype(np.uint64)) if len(text) else np.empty(0, np.uint64)
+        ids, begin = self.pieces.encode_points(points, starts, lanes, self.rate)
+        cuts = begin[np.searchsorted(text, np.arange(len(texts) + 1))]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, rate: float, variants: int, seed: int) -> Encoder:
+def encoder(path: str, rate: float, seed: int) -> Encoder:
     """One a process: reading the vocabulary takes a second."""
-    key = (path, rate, variants, seed)
+    key = (path, rate, seed)
     if key not in _encoders:
         _encoders[key] = Encoder(*key)
     return _encoders[key]
 
 
-def encode_documents(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, variants: int = VARIANTS, seed: int = SEED, with_ids: bool = True) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED, with_ids: bool = True) -> DataFrame:
     """doc_id, n_pieces, ids_sha256, decoded_sha256, lossless and, unless left out, ids of every document's whole text.
 
-    Null text: empty, no pieces. The variant follows from the seed and the doc_id. ids_sha256 covers the ids as little-endian
-    16-bit numbers. decoded_sha256 is that of the text which the ids decode to."""
+    Null and empty texts have no pieces; a null id draws as 0 does; rows of one id and text draw alike; an empty table gives an empty result.
+    ids_sha256 covers the ids as little-endian 16-bit numbers, which vocabularies of more than 65536 pieces are refused for. decoded_sha256 is
+    that of the text which the ids decode to. The vocabulary file is sent to every executor."""
     path = path or default_model()
+    docs.sparkSession.sparkContext.addFile(path)
+    name = os.path.basename(path)
     kinds = {"doc_id": pa.int64(), "n_pieces": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "lossless": pa.bool_()} | ({"ids": pa.list_(pa.int32())} if with_ids else {})
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, rate, variants, seed)
-        for batch in batches(it, 4 << 20):
+        e = encoder(SparkFiles.get(name), rate, seed)
+        for batch in batches(it, 2 << 20):
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
             for doc_id, text, ids in zip(doc_ids, texts, e.encode([t or "" for t in texts], doc_ids)):
                 back = e.pieces.decode(ids)
-                row = (doc_id, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == (text or ""))
-                rows.append((*row, ids.tolist()) if with_ids else row)
+                row = (doc_id, len(ids), hashlib.sha256(ids.astype("<u2").tobytes()).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), back == (text or ""))
+                rows.append((*row, ids.astype(np.int32)) if with_ids else row)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
 
     schema = "doc_id long, n_pieces long, ids_sha256 string, decoded_sha256 string, lossless boolean" + (", ids array<int>" if with_ids else "")

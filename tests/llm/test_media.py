@@ -48,3 +48,27 @@ def test_damage_is_found():
     assert media.reconstruct(m, dict(parts)) == b"onetwo" and media.read_manifest(m) == [(d, 3) for d, _ in parts]
     with pytest.raises(ValueError):
         media.reconstruct(m, {parts[0][0]: b"one", parts[1][0]: b"tw0"})
+
+
+def test_damage_in_the_store_fails_whoever_uses_it(spark):
+    """Two records share a long passage, one shares nothing: damage to either's stored bytes is found on reading."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    text = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    common = text(200_000)
+    df = spark.createDataFrame([(1, text(9000) + common), (2, common + text(7000)), (3, text(60_000))], "doc_id long, text string")
+    records, chunks = media.store(df)
+    assert media.read_back(records, chunks).count() == 3 and chunks.where("references > 1").count() > 5
+    assert records.where("manifest is not null").select("doc_id").collect() == [(3,)]
+    broken = lambda c: F.concat(F.expr(f"substring({c}, 1, length({c}) - 1)"), F.lit(b"~"))
+    with pytest.raises(Exception, match="damaged"):
+        media.read_back(records.where("doc_id = 3").withColumn("own", F.transform("own", lambda c: F.concat(F.lit(b"~"), c))), chunks).collect()
+    used = chunks.where("references > 1").select("digest").first().digest
+    hurt = chunks.withColumn("chunk", F.when(F.col("digest") == F.lit(used), broken("chunk")).otherwise(F.col("chunk")))
+    for i in (1, 2):
+        with pytest.raises(Exception, match="damaged"):
+            media.read_back(records.where(F.col("doc_id") == i), hurt).collect()
+        with pytest.raises(Exception, match="damaged"):
+            media.read_back(records.where(F.col("doc_id") == i), chunks.where(F.col("digest") != F.lit(used))).collect()
+    assert media.read_back(records.where("doc_id = 3"), hurt).count() == 1
