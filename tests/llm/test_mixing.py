@@ -52,3 +52,23 @@ def test_tilts_meet_the_targets(documents):
 def test_no_python_in_the_plan(documents):
     plan = mixing.mix(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_share_their_copies(spark):
+    """A third of all rows are one document: it makes one item, and its copies are dealt evenly."""
+    rows = [(7, "a b c d e", "x")] * 700 + [(i, "w " * (i % 40 + 1), "x") for i in range(100, 1500)] + [(None, "n n n", None)] * 5 + [(8, "same", "x"), (8, "same", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = check(df, 0.02)
+    same = [r.copies for r in got if r.doc_id == 7]
+    assert len(same) == 700 and max(same) - min(same) <= 1
+    lanes = {(r.doc_id, r.lane): r for r in mixing.mixed_lanes(df).collect()}
+    assert len(lanes) == 1404 and sum(r.copies for r in lanes.values()) == sum(r.copies for r in got)
+
+
+def test_targets_that_cannot_be_met_are_told(spark, monkeypatch):
+    import pytest
+
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    df = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") * F.col("id") + 1).cast("int")).alias("text"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"))
+    with pytest.raises(ArithmeticError, match="targets not met"):
+        mixing.mix(df)

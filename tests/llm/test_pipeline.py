@@ -72,3 +72,28 @@ def test_language_stage_keeps_short_labelled_texts(spark):
     assert letters.join(kept, "doc_id", "left_anti").count() == 0 and letters.count() >= 900
     junk = spark.createDataFrame([(-1, "".join(chr(0x4E00 + i * 37 % 5000) for i in range(4000)), None, "s", 4000)], kept.schema)
     assert p.keep_known_languages(spark, docs.select(*p.COLUMNS).unionByName(junk), SF).where("doc_id = -1").count() == 0
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_repeated_rows_are_mixed_as_often_as_the_mix_takes_them(spark, odd, empty):
+    text = "seven equal rows of one text"
+    docs = _docs(spark, [(1, text, "en", "a", 28)] * 7 + [(2, text, "en", "a", 28), (2, text, "en", "b", 28), (2, text, "de", "b", 28)] + [(i, f"filler {i} " * (i % 5 + 1), "en", "ab"[i % 2], 9) for i in range(10, 60)])
+    for df in (docs, odd):
+        want = {}
+        for r in mixing.mix(df).collect():
+            want[r.doc_id] = want.get(r.doc_id, 0) + r.copies
+        got = {}
+        for r in rows(p.mix_sources(spark, df, SF)):
+            got[r.doc_id] = got.get(r.doc_id, 0) + 1
+        assert got == {d: c for d, c in want.items() if c}
+    assert p.mix_sources(spark, empty, SF).count() == 0
+
+
+def test_encode_takes_odd_rows(spark, odd, empty):
+    out = p.encode(spark, odd, SF).collect()
+    assert len(out) == odd.count() and all(r.lossless for r in out)
+    assert {r.n_pieces for r in out if r.doc_id in (3, 4)} == {0}
+    assert p.encode(spark, empty, SF).count() == 0
