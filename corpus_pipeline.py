@@ -45,20 +45,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def sanitize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Entities and disclosing terms of each text are replaced and n_chars follows; every row stays, null texts too, whatever its id and however often it comes."""
     return pii.sanitize(docs.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it; one that it does not take goes. n_chars follows the text."""
+    """Each document as many times as the mix takes it; one that it does not take goes.
+
+    Rows of one id, text and source are taken as often as the mix takes them together; where their lang or n_chars differ, the first of
+    them stands for all. Null text is never taken. An empty table gives an empty one."""
     docs = docs.select(*COLUMNS)
-    taken = mixing.mix(docs).select("doc_id", "lane", F.col("copies")).groupBy("doc_id", "lane").agg(F.max("copies").alias("copies"))
-    keyed = docs.withColumn("lane", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
+    taken = mixing.mixed_lanes(docs).where("copies > 0").select("doc_id", "lane", "copies", "repeats")
+    keyed = docs.withColumn("lane", mixing.lane_of())
     joined = keyed.alias("d").join(taken.alias("t"), (F.col("d.lane") == F.col("t.lane")) & F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
-    return joined.where("copies > 0").select(*(F.col(f"d.{c}").alias(c) for c in COLUMNS), F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select(*COLUMNS)
+    joined = joined.select(*(F.col(f"d.{c}").alias(c) for c in COLUMNS), F.col("d.lane").alias("lane"), "copies", "repeats")
+    again = joined.where("repeats > 1").groupBy("doc_id", "lane", "copies").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*", "copies")
+    rows = joined.where("repeats = 1").select(*COLUMNS, "copies").unionByName(again)
+    return rows.select(*COLUMNS, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_pieces, digests and the ids of every document that the mix holds."""
+    """doc_id, n_pieces, digests and the ids of every document that the mix holds, a row a copy. Null and empty texts have no pieces."""
     return pieces.encode_documents(docs)
 
 
