@@ -27,20 +27,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..stored import keep
 from ..workers import portable
-from .common import batches, bitmap_of, in_bitmap, mapped, materialize, mix64, partitions, shingle_hashes, word_hashes
+from .common import batch_shingles, batch_words, batches, bitmap_bits, bitmap_of, buckets_for, in_bitmap, mapped, materialize, mix64, partitions
 
 WIDTH, PERCENT, REACH = 5, 75, 0.25
 REGION, PIVOTS, DEPTH, TILE = 512, 16, 4, 256
-HOT, BITS = 32, 1 << 23
+HOT = 32
 CHUNK_SHINGLES = 1 << 19
+BUCKET_BYTES = 4 << 20  # of the documents' files; a bucket's postings are some 10 MB
+HUB, HUBS = 256, 100_000  # rows of a node from which on it is a hub, and as many hubs as are sent to every executor
+_BATCH_BYTES = 1 << 20
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """The sorted distinct shingle hashes; empty without words."""
-    words, _, _ = word_hashes((text or "").encode("utf-8", "surrogatepass"))
-    return np.unique(shingle_hashes(words, WIDTH))
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Each text's sorted distinct shingle hashes; empty without words."""
+    h, begin = batch_shingles(*batch_words(texts), WIDTH)
+    return [np.unique(h[a:b]) for a, b in zip(begin, begin[1:])]
 
 
 def class_of(s: np.ndarray) -> bytes:
@@ -70,7 +74,12 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
-_BLOBS = "bucket int, chunk string, classes binary, at binary, keys binary, known binary, known_n binary, info binary"
+def _tags(names: np.ndarray, bucket: int) -> np.ndarray:
+    """48 bits of each class, others in every bucket: two classes that one bucket takes for one are two in the next."""
+    return mix64(names ^ np.uint64((bucket + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & _LOW48
+
+
+_BLOBS = "bucket int, chunk string, listed boolean, tags binary, at binary, keys binary, known binary, known_n binary, info binary"
 
 
 def _blobs(buckets: int):
@@ -92,12 +101,13 @@ def _blobs(buckets: int):
         import pickle
 
         info = pickle.dumps((ids, owner, names, n.tolist(), local.tolist()))
-        small = b"".join(x[:4] for x in names)
+        lanes = np.frombuffer(b"".join(x[:8] for x in names), np.uint64)
         rows = [
-            (b, chunk, small, one_at[i:j].tobytes(), _pack(one[i:j]), _pack(more[k:m]), more_n[k:m].tobytes(), info if b == 0 else None)
+            (b, chunk, j - i >= len(lanes), _pack(_tags(lanes if j - i >= len(lanes) else lanes[one_at[i:j]], b)), one_at[i:j].tobytes(), _pack(one[i:j]), _pack(more[k:m]), more_n[k:m].tobytes(), info if b == 0 else None)
             for b, (i, j, k, m) in enumerate(zip(cut, cut[1:], cut_more, cut_more[1:]))
+            if j > i or m > k or b == 0
         ]
-        kinds = [pa.int32(), pa.string(), *[pa.binary()] * 6]
+        kinds = [pa.int32(), pa.string(), pa.bool_(), *[pa.binary()] * 6]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=[x.split()[0] for x in _BLOBS.split(", ")])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,9 +116,8 @@ def _blobs(buckets: int):
         # a chunk is named by its partition and number, so that a task that runs again sends the same ones
         partition, made = TaskContext.get().partitionId(), 0
         ids, sets, owner, where, total = [], [], [], {}, 0
-        for batch in it:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = shingle_set(text.as_py())
+        for batch in batches(it, _BATCH_BYTES):
+            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1))):
                 name = class_of(s)
                 if name not in where:
                     where[name] = len(sets)
@@ -142,11 +151,14 @@ def _by_key(it: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[tuple[obj
 
 
 def _shared_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket holds all postings of its shingles: which occur in two different sets, and which in HOT or more?"""
+    """A bucket holds all postings of its shingles: which occur in two different sets, and which in HOT or more?
+
+    A chunk sends the tags of all its classes where it has more postings than classes, else one a posting."""
     for _, rows in _by_key(it):
         keys = np.concatenate([_unpack(r["keys"]) for r in rows])
         at = [np.frombuffer(r["at"], np.uint16).astype(np.int64) for r in rows]
-        small = np.concatenate([np.frombuffer(r["classes"], np.uint32)[a] for r, a in zip(rows, at)])
+        tags = [_unpack(r["tags"]) for r in rows]
+        small = np.concatenate([t[a] if r["listed"] else t for r, t, a in zip(rows, tags, at)])
         known = np.concatenate([_unpack(r["known"]) for r in rows])
         known_n = np.concatenate([np.frombuffer(r["known_n"], np.uint16) for r in rows]).astype(np.int64)
         known_keys, inverse = np.unique(known, return_inverse=True)
@@ -168,10 +180,10 @@ def _shared_counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hot = np.unique(np.concatenate((hot, k[first][n >= HOT])))
         out, i = [], 0
         for r, a in zip(rows, at):
-            own = np.bincount(a[shared[i : i + len(a)]], minlength=len(r["classes"]) // 4).astype(np.uint32)
-            out.append((r["chunk"], own.tobytes(), r["info"], hot.tobytes() if i == 0 and r is rows[0] else None))
+            own, many = np.unique(a[shared[i : i + len(a)]], return_counts=True)
+            out.append((r["chunk"], own.astype(np.uint16).tobytes(), many.astype(np.uint32).tobytes(), r["info"], hot.tobytes() if r is rows[0] else None))
             i += len(a)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.string(), pa.binary(), pa.binary(), pa.binary()])], names=["chunk", "counts", "info", "hot"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), [pa.string(), *[pa.binary()] * 4])], names=["chunk", "places", "counts", "info", "hot"])
 
 
 _NODES = "doc_id long, n_shingles long, class binary, near boolean"
@@ -185,7 +197,7 @@ def _nodes(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, owner, names, n, local = pickle.loads(next(r["info"] for r in rows if r["info"] is not None))
         shared = np.array(local, np.int64)
         for r in rows:
-            shared = shared + np.frombuffer(r["counts"], np.uint32)
+            shared[np.frombuffer(r["places"], np.uint16)] += np.frombuffer(r["counts"], np.uint32)
         n = np.array(n, np.int64)
         near = (n > 0) & (shared >= needed(n))
         yield pa.RecordBatch.from_arrays(
@@ -212,14 +224,12 @@ def prefix_of(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 def _sets(wanted: np.ndarray, hot: np.ndarray):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(it, 8 << 20):
-            ids = batch.column(0)
-            lanes = np.asarray(ids.fill_null(-1))
+        for batch in batches(it, _BATCH_BYTES):
+            batch = batch.take(pa.array(np.flatnonzero(in_bitmap(wanted, np.asarray(batch.column(0).fill_null(-1))))))
             out = []
-            for i in np.flatnonzero(in_bitmap(wanted, lanes)):
-                s = shingle_set(batch.column(1)[i].as_py())
+            for doc_id, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1))):
                 if len(s):
-                    out.append((class_of(s), ids[i].as_py(), s.tobytes(), prefix_of(s, hot).view(np.int64)))
+                    out.append((class_of(s), doc_id, s.tobytes(), prefix_of(s, hot).view(np.int64)))
             if out:
                 a, b, c, d = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.int64()), pa.array(c, pa.binary()), pa.array([x.tolist() for x in d], pa.list_(pa.int64()))], names=["class", "doc_id", "shingles", "prefix"])
@@ -370,19 +380,39 @@ def _forest(rows: list[dict], i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([rows[k]["class"] for k in at], pa.binary()), pa.array([rows[k]["class"] for k in root[at]], pa.binary()), pa.array(np.zeros(len(at), np.int64))], names=["class", "other", "links"])
 
 
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """``rows`` (u, v) with ``m`` of their u from ``least`` (u, m, n). ``least`` is written, so that both sides are plain exchanges; rows
+    of hubs do not travel at all: while hubs are no more than HUBS, they meet a table of them that every executor holds."""
+    hubs = least.where(F.col("n") >= HUB).select("u", "m")
+    if hubs.count() > HUBS:
+        return rows.join(least.select("u", "m"), "u")
+    rest = rows.join(F.broadcast(hubs.select("u")), "u", "left_anti").join(least.where(F.col("n") < HUB).select("u", "m"), "u")
+    return rest.unionByName(rows.join(F.broadcast(hubs), "u"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """u, root: the smallest node that can be reached, for every node of ``edges`` (u, v). Alternates large-star and
-    small-star until nothing changes; each round's edges are a table of at most as many rows."""
-    now = materialize(edges.where("u != v").distinct(), "edges_0")
-    mark = None
+    small-star until nothing changes; each round's edges are a table of at most as many rows, and go when the next one is written."""
+    now, held = keep(edges.where("u != v").distinct(), "edges_0")
+    mark, rest = None, []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        out, handle = keep(df, name)
+        rest.append(handle)
+        return out
+
     for step in range(1, 60):
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        now = materialize(small, f"edges_{step}")
+        both = written(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), f"both_{step}")
+        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n")), f"least_{step}")
+        large = _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        down = written(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), f"down_{step}")
+        low = written(down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), f"low_{step}")
+        small = _with_least(down, low).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
+        before = held
+        now, held = keep(small, f"edges_{step}")
+        for handle in (before, *rest):
+            handle.release()
+        rest.clear()
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == mark:
             break
@@ -398,16 +428,17 @@ def join(docs: DataFrame) -> DataFrame:
     id of their component, null if there is none. Repeated rows link with each other. An empty table gives an empty result."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = max(16, 2 * partitions(spark))
+    buckets = buckets_for(docs, max(16, 2 * partitions(spark)), BUCKET_BYTES)
     blobs = rows.transform(mapped, _blobs(buckets), _BLOBS).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    counts = materialize(blobs.transform(mapped, _shared_counts, "chunk string, counts binary, info binary, hot binary"), "shared_shingles")
-    hot = bitmap_of(counts.where("hot is not null").select("hot").transform(mapped, _lanes, "lane long"), F.col("lane"), BITS)
-    by_chunk = counts.select("chunk", "counts", "info").repartition(buckets, "chunk").sortWithinPartitions("chunk")
+    counts = materialize(blobs.transform(mapped, _shared_counts, "chunk string, places binary, counts binary, info binary, hot binary"), "shared_shingles")
+    frequent = counts.where("hot is not null")
+    hot = bitmap_of(frequent.select("hot").transform(mapped, _lanes, "lane long"), F.col("lane"), bitmap_bits(frequent.agg(F.coalesce(F.sum(F.octet_length("hot")), F.lit(0))).first()[0] // 8))
+    by_chunk = counts.select("chunk", "places", "counts", "info").repartition(buckets, "chunk").sortWithinPartitions("chunk")
     nodes = materialize(by_chunk.transform(mapped, _nodes, _NODES), "nodes")
     classes = materialize(nodes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"), F.max("near").alias("near")), "classes")
 
     near = classes.where("near").select("class", "least", "copies", "n")
-    wanted = bitmap_of(near, F.coalesce("least", F.lit(-1)), BITS)
+    wanted = bitmap_of(near, F.coalesce("least", F.lit(-1)), bitmap_bits(near.count()))
     texts = rows.transform(mapped, _sets(wanted, hot), "class binary, doc_id long, shingles binary, prefix array<long>")
     exact = (texts["class"] == near["class"]) & texts["doc_id"].eqNullSafe(near["least"])
     sets = materialize(texts.join(near, exact).select(texts["class"], "copies", "n", "shingles", "prefix").dropDuplicates(["class"]), "sets")

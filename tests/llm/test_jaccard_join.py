@@ -57,3 +57,20 @@ def test_same_as_sql(spark):
 
     sf = "/root/testdata/sf0.001"
     assert compare.difference(queries.op1_ngram_jaccard(spark, sf), compare.oracle(sf), queries.ORACLE_SQL["op1_ngram_jaccard"]) == ""
+
+
+@pytest.mark.parametrize(("buckets", "hub", "hubs"), [(700, 2, 100_000), (3, 2, 0)])
+def test_many_buckets_and_hubs(documents, monkeypatch, buckets, hub, hubs):
+    """Chunks with fewer postings in a bucket than classes name each posting's class; hubs with and without a table of their own."""
+    monkeypatch.setattr(j, "buckets_for", lambda *_: buckets)
+    monkeypatch.setattr(j, "HUB", hub)
+    monkeypatch.setattr(j, "HUBS", hubs)
+    check(documents)
+
+
+def test_components_of_a_star(spark):
+    from pyspark.sql import functions as F
+
+    edges = spark.range(1, 3000).select(F.col("id").alias("u"), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") - 1).alias("v"))
+    got = j.components(edges)
+    assert got.where("root <> 0").count() == 0 and got.select("u").distinct().count() == got.count() == 2999
