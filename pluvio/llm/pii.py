@@ -1,15 +1,20 @@
 """Information-theoretic sanitisation of personal data, with DataFrame and SQL functions only.
 
-Patterns find the protected entities. Terms near them are then weighed by what they reveal: with documents counted over the
-whole corpus, PMI(c; t) = log2(n_ct * n / (n_c * n_t)) is how much term t tells of entity c, and IC(c) = log2(n / n_c) all
-there is to tell. A term that tells ``GENERALISE`` of it is generalised, one that tells ``REMOVE`` is removed.
+Patterns find the protected entities. The terms of the documents that hold them are then weighed by what they reveal: with documents
+counted over the whole corpus, PMI(c; t) = log2(n_ct * n / (n_c * n_t)) is how much term t tells of entity c, and IC(c) = log2(n / n_c)
+all there is to tell. A term that tells ``GENERALISE`` of it is generalised, one that tells ``REMOVE`` is removed, in every document that
+holds the entity. Rare words meet by chance, and copies of one text prove nothing: a term needs two texts that are no near copies of
+each other, and ``EVIDENCE`` bits more than the best of all weighed pairs would have by chance.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from .common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -22,8 +27,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WORTH = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){11}", "phone": r"\+[0-9]"}
-WINDOW = 64  # code points on either side of an entity in which a term is evidence
-GENERALISE, REMOVE, SUPPORT = 0.8, 0.95, 2  # shares of IC; distinct texts in which t stands near c
+GENERALISE, REMOVE = 0.8, 0.95  # shares of IC
+SUPPORT, EVIDENCE, WIDTH = 2, 10.0, 5  # documents with both; bits of n_ct * PMI beyond log2 of the pairs; words of a shingle
 TERM = r"\p{L}{3,}"
 
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
@@ -74,53 +79,47 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return each.withColumn("spans", F.array_sort(F.concat(*(F.col(f"_{k}") for k in KINDS)))).drop(*(f"_{k}" for k in KINDS))
 
 
-def _terms_in(piece: Column, first: Column, cut_start: Column, cut_end: Column) -> Column:
-    """Terms of a piece of text that begins at ``first``; a run at a cut end may be part of a word and is left out."""
-    terms = F.regexp_extract_all(piece, F.lit(TERM), F.lit(0))
-    gaps = F.slice(F.split(piece, TERM, -1), 1, F.size(terms))
-    pairs = F.zip_with(terms, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    start = F.struct(first.cast("int").alias("at"), F.array().cast("array<struct<start:int,end:int,term:string>>").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        begin = s["at"] + F.char_length(x["g"])
-        end = begin + F.char_length(x["m"])
-        whole = ~((begin == first) & cut_start) & ~((end == first + F.char_length(piece)) & cut_end)
-        item = F.array(F.struct(begin.alias("start"), end.alias("end"), F.lower(x["m"]).alias("term")))
-        return F.struct(end.alias("at"), F.when(whole, F.concat(s["out"], item)).otherwise(s["out"]).alias("out"))
+def _least_shingle(text: Column, seed: int) -> Column:
+    """The least hash of a text's five-word shingles: nearly equal texts mostly have one."""
+    some = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - WIDTH + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, WIDTH), F.lit(seed)))
+    return let(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: F.array_min(some(w)))
 
-    return F.aggregate(pairs, start, step, lambda s: s["out"])
 
-
-def _near(text: Column, span: Column) -> Column:
-    """Terms (start, end, term) within WINDOW code points of a span."""
-    first = F.greatest(span["start"] - WINDOW, F.lit(0))
-    left = _terms_in(F.substring(text, first + 1, span["start"] - first), first, first > 0, F.lit(False))
-    right = _terms_in(F.substring(text, span["end"] + 1, F.lit(WINDOW)), span["end"], F.lit(False), F.char_length(text) > span["end"] + WINDOW)
-    return F.concat(left, right)
+def entities(based: DataFrame) -> DataFrame:
+    """A row for each document with spans: key, two hashes that near copies share, kinds, values (kind, digest) and the terms outside of the spans."""
+    rows = based.where(F.size("spans") > 0)
+    terms = F.regexp_extract_all(rewrite(F.col("text"), F.col("spans"), F.lit(" ")), F.lit(TERM), F.lit(0))
+    return rows.select(
+        "key", *(_least_shingle(F.col("text"), i).alias(f"copy_{i}") for i in (1, 2)),
+        F.array_distinct(F.transform("spans", lambda s: s["kind"])).alias("kinds"),
+        F.array_distinct(F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), F.sha2(s["value"], 256).alias("value")))).alias("values"),
+        F.array_distinct(F.transform(terms, F.lower)).alias("terms"),
+    )
 
 
-def entities(based: DataFrame) -> DataFrame:
-    """A row for each entity occurrence of documents with spans: key, text's lane, kind, value and the terms near it."""
-    rows = based.where(F.size("spans") > 0).select("key", "lane", "text", "spans", F.explode("spans").alias("span"))
-    near = F.filter(_near(F.col("text"), F.col("span")), lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return rows.select("key", "lane", F.col("span.kind").alias("kind"), F.sha2(F.col("span.value"), 256).alias("value"), near.alias("near"))
+def _counted(rows: DataFrame, *keys: str) -> DataFrame:
+    """keys and n: the documents of each, where two texts are no near copies; counted before the shuffle, so no key is hot."""
+    ends = [f(f"copy_{i}").alias(f"{n}_{i}") for i in (1, 2) for n, f in (("a", F.min), ("b", F.max))]
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *ends).where((F.col("n") >= SUPPORT) & (F.col("a_1") < F.col("b_1")) & (F.col("a_2") < F.col("b_2"))).select(*keys, "n")
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     """kind, value (null: the kind itself), term and share of the terms that tell GENERALISE of an entity's IC or more.
 
-    n counts all documents, n_t those with the term anywhere, n_c those with the entity, n_ct those with the term near the
-    entity. SUPPORT distinct texts are needed: one text, however often copied, is no evidence of a link. Entities are single
-    values and whole kinds."""
+    n counts all documents, n_t those with the term, n_c those with the entity, n_ct those with both, near or far. Entities are
+    whole kinds, and single values that two texts or more hold."""
     n = docs.count()
-    as_value = found.select("key", "lane", "kind", "value", "near")
-    as_kind = found.select("key", "lane", "kind", F.lit(None).cast("string").alias("value"), "near")
-    c = as_value.unionByName(as_kind)
-    n_c = c.groupBy("kind", "value").agg(F.countDistinct("key").alias("n_c"))
-    near = c.select("key", "lane", "kind", "value", F.explode("near.term").alias("term"))
-    n_ct = near.groupBy("kind", "value", "term").agg(F.countDistinct("key").alias("n_ct"), F.countDistinct("lane").alias("texts")).where(F.col("texts") >= SUPPORT)
-    n_ct = materialize(n_ct.drop("texts"), "terms_near_entities")
-    if not n_ct.limit(1).count():
+    copies = ["copy_1", "copy_2"]
+    kinds = found.select(F.explode("kinds").alias("kind"), F.lit(None).cast("string").alias("value"), "terms", *copies)
+    values = found.select(F.inline("values"), "terms", *copies)
+    of_kinds = kinds.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_c"))
+    of_values = materialize(_counted(values, "kind", "value").withColumnRenamed("n", "n_c"), "values_of_several_texts")
+    n_c = of_kinds.unionByName(of_values)
+    told = lambda rows: rows.select("kind", "value", F.explode("terms").alias("term"), *copies)
+    pairs = told(kinds).unionByName(told(values.join(of_values.select("kind", "value"), ["kind", "value"], "left_semi")))
+    n_ct = materialize(_counted(pairs, "kind", "value", "term").withColumnRenamed("n", "n_ct"), "terms_with_entities")
+    weighed_pairs = n_ct.count()
+    if not weighed_pairs:
         return n_ct.select("kind", "value", "term", F.lit(0.0).alias("share")).limit(0)
     # the whole vocabulary is counted first and only then joined: no join ever sees the corpus word by word
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"))).alias("term"))
@@ -128,7 +127,8 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     weighed = n_ct.join(n_t, "term").join(n_c, n_ct["kind"].eqNullSafe(n_c["kind"]) & n_ct["value"].eqNullSafe(n_c["value"])).select(n_ct["kind"], n_ct["value"], "term", "n_ct", "n_t", "n_c")
     pmi = F.log2(F.col("n_ct") * F.lit(float(n)) / (F.col("n_c") * F.greatest("n_t", "n_ct").cast("double")))
     ic = F.log2(F.lit(float(n)) / F.col("n_c"))
-    return weighed.select("kind", "value", "term", F.try_divide(pmi, ic).alias("share")).where(F.col("share") >= GENERALISE)
+    sure = F.col("n_ct") * pmi >= EVIDENCE + math.log2(weighed_pairs)
+    return weighed.where(sure).select("kind", "value", "term", F.try_divide(pmi, ic).alias("share")).where(F.col("share") >= GENERALISE)
 
 
 def prepare(docs: DataFrame) -> DataFrame:
@@ -160,12 +160,12 @@ def _told_in(text: Column, told: Column, spans: Column) -> Column:
 def added_spans(rows: DataFrame, marked: DataFrame, found: DataFrame) -> DataFrame:
     """key and ``more``: the spans of disclosing terms, each once, with kind term (generalised) or drop (removed).
 
-    A term that tells of an entity goes wherever it stands in the documents (``marked``) that hold the entity, however far away."""
-    told = disclosing(rows, found)
+    A term that tells of an entity goes wherever it stands in the documents (``marked``) that hold the entity, however far away.
+    Rows of equal id and text share a key and their spans."""
+    told = materialize(disclosing(rows, found), "disclosing_terms")
     by_kind = told.where(F.col("value").isNull()).select("kind", "term", "share")
     by_value = told.where(F.col("value").isNotNull()).select("kind", "value", "term", "share")
-    words = marked.where("key is not null").select("key", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)), F.lower))).alias("term"))
-    holds = words.join(told.select("term").distinct(), "term", "left_semi").join(found.select("key", "kind", "value").distinct(), "key")
+    holds = found.select("key", "values", F.explode("terms").alias("term")).join(told.select("term").distinct(), "term", "left_semi").select("key", "term", F.inline("values"))
     hits = holds.join(by_kind, ["kind", "term"]).select("key", "term", "share").unionByName(holds.join(by_value, ["kind", "value", "term"]).select("key", "term", "share"))
     terms = hits.groupBy("key", "term").agg(F.max("share").alias("share")).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))
     more = marked.join(terms, "key").select("key", _told_in(F.col("text"), F.col("told"), F.col("spans")).alias("more"))
@@ -192,12 +192,13 @@ def find(docs: DataFrame) -> DataFrame:
     return kept.select("doc_id", *map(count, KINDS), F.sha2(_join(F.col("spans")).cast("binary"), 256).alias("base_sha256"), _join(F.array_sort(F.concat("spans", "more"))).alias("spans"), F.size("more").cast("long").alias("n_terms"))
 
 
-def rewrite(text: Column, spans: Column) -> Column:
-    """The text with each span replaced: [EMAIL] and so on, [TERM] for a generalised term, nothing for a removed one."""
+def rewrite(text: Column, spans: Column, other: Column | None = None) -> Column:
+    """The text with each span replaced: [EMAIL] and so on, [TERM] for a generalised term, nothing for a removed one; or all by ``other``."""
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
         mark = F.when(x["kind"] == "drop", "").otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        mark = mark if other is None else other
         gap = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
         fresh = x["start"] >= s["at"]
         return F.struct(F.greatest(x["end"], s["at"]).alias("at"), F.when(fresh, F.concat(s["out"], gap, mark)).otherwise(s["out"]).alias("out"))
@@ -207,6 +208,7 @@ def rewrite(text: Column, spans: Column) -> Column:
 
 def sanitize(docs: DataFrame) -> DataFrame:
     """docs with the same columns; entities and disclosing terms in ``text`` are replaced, n_chars follows. Null text stays null.
+    Ids may be null or repeated; every row stays. An empty table gives an empty result.
 
     Documents without an entity pass through in the scan; only the others meet the added spans, by key."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")

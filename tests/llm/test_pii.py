@@ -1,3 +1,5 @@
+import math
+
 import plain
 import pytest
 from pyspark.sql import functions as F
@@ -31,31 +33,26 @@ def telling(spark):
 
 
 def plain_shares(rows):
-    """PMI over IC of (phone, term), straight from its definition."""
+    """PMI over IC of (phone, term) and the bits of evidence, straight from their definitions."""
     import math
     import re
 
     n = len(rows)
     term = lambda t: set(x.lower() for x in re.findall(r"[^\W\d_]{3,}", t or ""))
-    n_c = sum(bool(plain.base_spans(t)) for _, t in rows)
-    near: dict[str, set] = {}
-    for d, t in rows:
-        for a, _, b, _ in plain.base_spans(t):
-            for m in re.finditer(r"[^\W\d_]{3,}", t):
-                whole = (m.end() <= a and (m.start() > max(0, a - 64) or a <= 64)) or (m.start() >= b and (m.end() < b + 64 or len(t) <= b + 64))
-                if whole and max(0, a - 64) <= m.start() and m.end() <= b + 64:
-                    near.setdefault(m[0].lower(), set()).add(t)
+    held = [(d, t) for d, t in rows if plain.base_spans(t)]
     out = {}
-    for x, texts in near.items():
-        if len(texts) >= 2:
-            n_t = sum(x in term(t) for _, t in rows)
-            out[x] = math.log2(len(texts) * n / (n_c * n_t)) / math.log2(n / n_c)
+    for x in set().union(*(term(t) for _, t in held)):
+        n_ct, n_t = sum(x in term(t) for _, t in held), sum(x in term(t) for _, t in rows)
+        if n_ct >= 2:
+            pmi = math.log2(n_ct * n / (len(held) * n_t))
+            out[x] = (pmi / math.log2(n / len(held)), n_ct * pmi)
     return out
 
 
 def test_terms_that_tell(telling):
     rows = [(r.doc_id, r.text) for r in telling.collect()]
-    want = {t: s for t, s in plain_shares(rows).items() if s >= pii.GENERALISE}
+    all_shares = plain_shares(rows)
+    want = {t: s for t, (s, bits) in all_shares.items() if s >= pii.GENERALISE and bits >= pii.EVIDENCE + math.log2(len(all_shares))}
     based = pii.prepare(telling)
     got = {r.term: r.share for r in pii.disclosing(telling, pii.entities(based)).where("value is null").collect()}
     assert set(got) == set(want) and "zelda" in got and "common" not in got and "alpha" not in got
@@ -91,3 +88,19 @@ def test_terms_that_tell_go_everywhere_in_the_document(spark, telling):
     assert "zelda" not in texts[300].lower() and "[PHONE]" in texts[300] and "Zelda" in texts[200]
     spans = next(r.spans for r in pii.find(df).collect() if r.doc_id == 300).split(",")
     assert {far[int(x.split(":")[1]) : int(x.split(":")[2])] for x in spans if x.split(":")[0] in ("term", "drop")} == {"Zelda", "zelda"} and len(spans) == 5
+
+
+def test_what_proves_nothing(spark):
+    """Rare words of near copies, and words that meet an entity by chance, tell nothing; a value's own words do."""
+    rnd = __import__("random").Random(4)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n))
+    copy = f"{prose(60)} quorxin {prose(60)} write to once@copies.example"
+    rows = [(1, copy), (2, copy + " too"), (3, copy + " again")]
+    rows += [(10 + i, f"{prose(30)} Zeldanna {prose(30)} mail zel.danna@home.example {prose(10)}") for i in range(3)]
+    rows += [(100 + i, prose(50) + (f" reach p{i}@x{i}.example" if i % 3 == 0 else "")) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    told = pii.disclosing(df, pii.entities(pii.prepare(df))).collect()
+    assert {(r.kind, r.term) for r in told if r.value} == {("email", "zeldanna"), ("email", "mail")}
+    assert {r.term for r in told if r.value is None} <= {"reach"}
+    texts = {r.doc_id: r.text for r in pii.sanitize(df).collect()}
+    assert "quorxin" in texts[1] and all("Zeldanna" not in texts[d] for d in (10, 11, 12)) and texts[100].endswith("[EMAIL]")
