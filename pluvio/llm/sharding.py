@@ -17,13 +17,13 @@ MAP = "virtual_slot int, shard int, bytes long, rows long, version int"
 
 
 def with_slots(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot of each record. Null text: size 1, CRC 0. Null ids share a slot."""
+    """doc_id, size, text_crc32, virtual_slot of each record. Null text: size 1, CRC 0. Rows with null ids are dealt by their text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.pmod(F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64(F.col("doc_id").cast("long"))), F.lit(slots)).cast("int").alias("virtual_slot"),
     )
 
 

@@ -7,7 +7,10 @@ from pluvio.llm.fingerprints import fingerprint_documents
 
 
 def check(df, buckets):
-    rows = sorted(((r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    from pyspark.sql import functions as F
+
+    marked = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text")).collect()
+    rows = [(r.doc_id, r.text) for r in sorted(marked, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.mark, r.text.encode()))]
     want = []
     for i, (d, t) in enumerate(rows):
         e, n = omh.edited(t, rows[(i + 1) % len(rows)][1]), rows[(i + 1) % len(rows)][1]
@@ -63,3 +66,55 @@ def test_order_matters_and_edits_cost():
     edited = omh.fingerprint(" ".join(words[:290] + ["other"] * 10))
     far = omh.fingerprint(" ".join(words[::-1]))
     assert omh.likeness(f, f) == 1 and omh.likeness(f, edited) > 0.85 > omh.likeness(f, swapped) > omh.likeness(f, far)
+
+
+def test_an_id_that_fills_many_ranges(spark):
+    """A third of the rows has no id, another id is frequent, and one row is repeated."""
+    rows = [(None, f"text number {i} without an id") for i in range(60)] + [(5, f"another text {i}") for i in range(50)] + [(7, "the same row")] * 20 + [(100 + i, f"a text of its own {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    check(df, 12)
+    sizes = fingerprint_documents(df, 12).rdd.glom().map(len).collect()
+    assert sum(n > 0 for n in sizes) >= 5
+
+
+M64 = (1 << 64) - 1
+
+
+def _mixed(x):
+    x ^= x >> 32
+    x = x * 0xD6E8FEB86659FD93 & M64
+    x ^= x >> 29
+    x = x * 0xA0761D6478BD642F & M64
+    return x ^ x >> 32
+
+
+def _slow_fingerprint(text):
+    """Every k-mer hashed by itself, numbered, ranked under each function; the two least in text order make the tuple."""
+    p = [ord(c) for c in text]
+    k, out = min(omh.K, len(p)), []
+    seen, h = {}, []
+    for i in range(len(p) - k + 1) if p else []:
+        total = 0
+        for j, c in enumerate(p[i : i + k]):
+            x = (c + 1) * 0x9FB21C651E98DF25 & M64
+            total = total + (x ^ x >> 28) * pow(0xC2B2AE3D27D4EB4F, j, 1 << 64) & M64
+        gram = tuple(p[i : i + k])
+        seen[gram] = seen.get(gram, -1) + 1
+        h.append((_mixed(total), seen[gram], gram))
+    repeated = {g for g, n in seen.items() if n}
+    h = [_mixed(v + n * 0x9E3779B97F4A7C15 & M64) if g in repeated else v for v, n, g in h]
+    size = min(omh.TUPLE, len(h))
+    for f in range(omh.FUNCTIONS):
+        m = int(omh._MULTIPLIERS[f])
+        chosen = sorted(sorted(range(len(h)), key=lambda i: (h[i] * m & M64, i))[:size])
+        t = size
+        for i in chosen:
+            t = _mixed(t * 0x9E3779B97F4A7C15 + h[i] & M64)
+        out.append((t >> 32) & 0xFFFFFFFF | 1)
+    return out if h else [0] * omh.FUNCTIONS
+
+
+def test_against_the_definition(documents):
+    texts = [r.text[:300] for r in documents.limit(12).collect() if r.text] + ["", "a", "abcdefg", "abcdefgh", "abcabcabc" * 20, "aaaaaaaaaaaaaaaaaaaaaaaaa", "é😀" * 30]
+    for t in texts:
+        assert omh.fingerprint(t).tolist() == _slow_fingerprint(t), t
