@@ -111,12 +111,15 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     n = docs.count()
     copies = ["copy_1", "copy_2"]
     kinds = found.select(F.explode("kinds").alias("kind"), F.lit(None).cast("string").alias("value"), "terms", *copies)
-    values = found.select(F.inline("values"), "terms", *copies)
+    values = found.select("key", *copies, F.inline("values"))
     of_kinds = kinds.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_c"))
     of_values = materialize(_counted(values, "kind", "value").withColumnRenamed("n", "n_c"), "values_of_several_texts")
     n_c = of_kinds.unionByName(of_values)
     told = lambda rows: rows.select("kind", "value", F.explode("terms").alias("term"), *copies)
-    pairs = told(kinds).unionByName(told(values.join(of_values.select("kind", "value"), ["kind", "value"], "left_semi")))
+    # a document's terms meet the few of its values that others hold too, not one by one but as two arrays
+    recurring = values.join(of_values.select("kind", "value"), ["kind", "value"], "left_semi").groupBy("key").agg(F.collect_set(F.struct("kind", "value")).alias("recurring"))
+    with_values = found.select("key", "terms", *copies).join(recurring, "key").select(F.inline("recurring"), "terms", *copies)
+    pairs = told(kinds).unionByName(told(with_values))
     n_ct = materialize(_counted(pairs, "kind", "value", "term").withColumnRenamed("n", "n_ct"), "terms_with_entities")
     weighed_pairs = n_ct.count()
     if not weighed_pairs:
@@ -163,10 +166,10 @@ def added_spans(rows: DataFrame, marked: DataFrame, found: DataFrame) -> DataFra
     A term that tells of an entity goes wherever it stands in the documents (``marked``) that hold the entity, however far away.
     Rows of equal id and text share a key and their spans."""
     told = materialize(disclosing(rows, found), "disclosing_terms")
-    by_kind = told.where(F.col("value").isNull()).select("kind", "term", "share")
-    by_value = told.where(F.col("value").isNotNull()).select("kind", "value", "term", "share")
-    holds = found.select("key", "values", F.explode("terms").alias("term")).join(told.select("term").distinct(), "term", "left_semi").select("key", "term", F.inline("values"))
-    hits = holds.join(by_kind, ["kind", "term"]).select("key", "term", "share").unionByName(holds.join(by_value, ["kind", "value", "term"]).select("key", "term", "share"))
+    holds = found.select("key", F.explode("terms").alias("term")).join(told, "term")
+    of_kinds = holds.where(F.col("value").isNull()).join(found.select("key", F.explode("kinds").alias("kind")), ["key", "kind"], "left_semi")
+    of_values = holds.where(F.col("value").isNotNull()).join(found.select("key", F.inline("values")), ["key", "kind", "value"], "left_semi")
+    hits = of_kinds.select("key", "term", "share").unionByName(of_values.select("key", "term", "share"))
     terms = hits.groupBy("key", "term").agg(F.max("share").alias("share")).groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("told"))
     more = marked.join(terms, "key").select("key", _told_in(F.col("text"), F.col("told"), F.col("spans")).alias("more"))
     return more.groupBy("key").agg(F.first("more").alias("more"))
