@@ -32,3 +32,15 @@ def between_ids(df: DataFrame, column: str, start: int | None, end: int | None)
 
 def newest(df: DataFrame, column: str) -> int | None:
     return df.agg(F.max(column)).first()[0]
+
+
+def part_of(df: DataFrame, order: Sequence[str], size: int, start: int = 0) -> DataFrame:
+    """``size`` rows from place ``start`` on (from 0), in an order that must be total for the same rows on each run."""
+    return df.orderBy(*order).offset(start).limit(size)
+
+
+def runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """``run``: numbers from 1, within the keys, the stretches of consecutive rows with one value; null is a value like others."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    first = (F.row_number().over(w) == 1) | ~F.lag(value).over(w).eqNullSafe(F.col(value))
+    return df.withColumn("_first", first.cast("int")).withColumn("run", F.sum("_first").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("_first")

@@ -27,3 +27,8 @@ def daily_for_maps(values: DataFrame, start_file_id: int | None = None, end_file
 
 def monthly_from_days(consensus: DataFrame) -> DataFrame:
     return consensus.groupBy("file_id", "month").agg(F.sum("consensus_value").alias("monthly_total"), F.count(F.lit(1)).alias("days"))
+
+
+def days_of_month(values: DataFrame) -> DataFrame:
+    """file_id, month, days: the days that a page's month has, ascending; 31 at most, whatever the number of transcriptions."""
+    return values.groupBy("file_id", "month").agg(F.sort_array(F.collect_set("day_of_month")).alias("days"))

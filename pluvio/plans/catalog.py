@@ -789,3 +789,49 @@ def duplicate_keys(spark, sf):
     p = a.star(spark, sf, "part")
     twice = p.groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return twice.unionByName(p.agg(F.count(F.lit(1)).alias("n")).select(F.lit("total").alias("p_brand"), F.lit(None).cast("int").alias("p_size"), "n"))
+
+
+@query("select o_orderkey, coalesce(x = y and y = z, false) same from (select o_orderkey, o_custkey % 3 x, o_orderkey % 3 y, case when o_orderkey % 7 <> 0 then o_orderkey // 4 % 3 end z from orders)")
+def all_equal(spark, sf):
+    k = F.col("o_orderkey")
+    three = F.array(F.col("o_custkey") % 3, k % 3, F.when(k % 7 != 0, F.floor(k / 4) % 3))
+    return a.star(spark, sf, "orders", "o_orderkey", "o_custkey").select("o_orderkey", arrays.all_equal(three).alias("same"))
+
+
+@query("select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey limit 25 offset 50")
+def part_by_offset(spark, sf):
+    """The third part of 25 orders by price: the limit is the feature."""
+    o = a.star(spark, sf, "orders", "o_orderkey", "o_totalprice").withColumn("down", -F.col("o_totalprice"))
+    return compat.part_of(o, ("down", "o_orderkey"), 25, 50).drop("down")
+
+
+@query("""with f as (select *, (row_number() over w = 1 or lag(event_type) over w is distinct from event_type)::int f from events window w as (partition by user_id order by ts, event_id)),
+    r as (select *, sum(f) over (partition by user_id order by ts, event_id rows unbounded preceding) run from f)
+    select user_id, run::bigint run, any_value(event_type) event_type, count(*) n, min(event_id) least_event_id from r group by user_id, run""")
+def event_runs(spark, sf):
+    """Stretches of a user's events of one type, cut where the type changes."""
+    e = compat.runs(a.star(spark, sf, "events", "event_id", "ts", "user_id", "event_type"), ("user_id",), ("ts", "event_id"), "event_type")
+    return e.groupBy("user_id", "run").agg(F.first("event_type").alias("event_type"), F.count(F.lit(1)).alias("n"), F.min("event_id").alias("least_event_id"))
+
+
+@query("""with c as (select l_linenumber, greatest(list_sort(list(l_extendedprice))[ceil(0.98 * count(*))::int], 1e-6) top from lineitem where l_extendedprice is not null group by 1)
+    select l_orderkey, l_linenumber, round(sqrt(least(greatest(l_extendedprice, 0.0), top) / top), 6) shade from lineitem join c using (l_linenumber)""")
+def colour_positions(spark, sf):
+    """Prices on a colour scale that ends at the 98th percentile of their line number."""
+    rows = a.star(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
+    tops = rows.where("l_extendedprice is not null").groupBy("l_linenumber").agg(F.percentile_approx("l_extendedprice", 0.98, 1_000_000).alias("top"))
+    return rows.join(tops, "l_linenumber").select("l_orderkey", "l_linenumber", _r(lookups.colour_position(F.col("l_extendedprice"), F.col("top"))).alias("shade"))
+
+
+@query(V("pmd") + "select file_id, month::int as month, array_to_string(list_sort(list(distinct day_of_month)), ',') as days_held, count(distinct day_of_month) n from pmd group by file_id, month")
+def days_of_month(spark, sf):
+    d = consensus.days_of_month(a.member_days(spark, sf))
+    return d.select("file_id", F.col("month").cast("int").alias("month"), F.array_join(F.col("days").cast("array<string>"), ",").alias("days_held"), F.size("days").cast("bigint").alias("n"))
+
+
+@query("select s_suppkey, s_name, case when s_suppkey % 3 = 0 then s_nationkey + 100 end::bigint place, case when s_suppkey % 3 = 0 then 'exact' end kind from supplier")
+def places_reset(spark, sf):
+    """A new assignment: each page's old place goes, and only the pages that it names get another."""
+    s = a.star(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("bigint").alias("place"), F.lit("approximate").alias("kind"))
+    new = s.where("s_suppkey % 3 = 0").select("s_suppkey", (F.col("place") + 100).alias("place"), F.lit("exact").alias("kind"))
+    return assign.reassigned(s, new, "s_suppkey", "place", "kind")

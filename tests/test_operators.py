@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from pluvio.operators import assign, consensus, export, frames, match, qc1, regional, secondary, vectors
+from pluvio.functions import compat
+from pluvio.operators import assign, consensus, export, frames, lookups, match, qc1, regional, secondary, vectors
 from pluvio.plans import adapters as a
 from pluvio.schemas import SCHEMAS
 
@@ -177,3 +178,26 @@ def test_match_without_stations_or_pages(spark):
     members, pages = vectors.member_values(totals), vectors.pages(totals, files)
     assert match.top_k(members, pages, rr.limit(0)).count() == 0
     assert match.top_k(members.limit(0), pages, rr).count() == 0
+
+
+def test_runs_take_null_as_a_value(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "a"), (1, 3, None), (1, 4, None), (1, 5, "a"), (2, 1, None)], "k int, t int, v string")
+    got = {(r.k, r.t): r.run for r in compat.runs(df, ("k",), ("t",), "v").collect()}
+    assert got == {(1, 1): 1, (1, 2): 1, (1, 3): 2, (1, 4): 2, (1, 5): 3, (2, 1): 1}
+    assert compat.runs(df.limit(0), ("k",), ("t",), "v").count() == 0
+
+
+def test_parts_by_offset_make_up_the_whole(spark):
+    df = spark.range(10)
+    assert [[r.id for r in compat.part_of(df, ("id",), 4, s).collect()] for s in (0, 4, 8, 12)] == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9], []]
+
+
+def test_colour_positions_are_held_to_the_scale(spark):
+    df = spark.createDataFrame([(-1.0, 4.0), (1.0, 4.0), (9.0, 4.0), (None, 4.0), (0.0, 0.0)], "v double, c double")
+    assert [r.p for r in df.select(lookups.colour_position(F.col("v"), F.col("c")).alias("p")).collect()] == [0.0, 0.5, 1.0, None, 0.0]
+
+
+def test_new_assignment_leaves_no_old_place(spark):
+    old = spark.createDataFrame([(1, "x", "n1"), (2, "y", "n2")], "k int, place string, name string")
+    new = spark.createDataFrame([(2, "z"), (3, "w")], "k int, place string")
+    assert sorted(tuple(r) for r in assign.reassigned(old, new, "k", "place").collect()) == [(1, None, "n1"), (2, "z", "n2")]
