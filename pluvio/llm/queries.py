@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard_join, language_id, media, mixing, passages, pieces, pii, sharding, warc
+from . import bpe, fingerprints, jaccard_join, language_id, media, mixing, passages, pieces, pii, sharding, warc
 from .common import materialize, table
 
 SHARDS = 8
@@ -70,6 +70,10 @@ def op10_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_pii_disclosure": op2_pii_disclosure,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_merkle_audit": op7_merkle_audit,
     "op9_order_minhash": op9_order_minhash,
     "op10_virtual_slots": op10_virtual_slots,
+    "op11_bpe_backtracking": op11_bpe_backtracking,
 }
 
 _RECORD = """encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', coalesce(cast(page_id as varchar), 'none'),
