@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, jaccard_join, language_id, media, mixing, passages, pieces, pii, sharding, warc
+from . import bpe, fingerprints, jaccard_join, language_id, manifest, media, mixing, passages, pieces, pii, sharding, warc, whitening
 from .common import materialize, table
 
 SHARDS = 8
@@ -74,6 +74,14 @@ def op11_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit_documents(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_pii_disclosure": op2_pii_disclosure,
@@ -86,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_order_minhash": op9_order_minhash,
     "op10_virtual_slots": op10_virtual_slots,
     "op11_bpe_backtracking": op11_bpe_backtracking,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 _RECORD = """encode(concat('WARC/1.0', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10), 'WARC-Record-ID: <urn:page:', coalesce(cast(page_id as varchar), 'none'),
@@ -101,7 +111,33 @@ _JACCARD = r"""
     reach as (select doc_id a, doc_id b from n union select r.a, l.b from reach r join l on l.a = r.b)
     select n.doc_id, n.n n_shingles, m.component_id, coalesce(k.n_links, 0) n_links from n join (select a, min(b) component_id from reach group by 1) m on m.a = n.doc_id left join (select a, count(*) n_links from l group by 1) k on k.a = n.doc_id"""
 
+_FIELDS = " || ".join(f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in ("doc_id", "source", "lang", "n_chars"))
+_TEXT = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SIBLINGS = """select tree, level, idx, n, coalesce(string_agg(digest, '') over (run rows between unbounded preceding and 1 preceding), '') before,
+      coalesce(string_agg(digest, '') over (run rows between 1 following and unbounded following), '') after from {0} window run as (partition by tree, level, idx // 8 order by idx)"""
+_UP = "select tree, level + 1, idx // 8, sha256(string_agg(digest, '' order by idx)), (n + 7) // 8 from {0} where n > 1 group by tree, level, idx // 8, n"
+_FOLD = "select w.doc_id, w.leaf, w.tree, w.level + 1, w.idx // 8, sha256(s.before || w.digest || s.after), w.proof || s.before || s.after from {0} w join {1} s on (s.tree, s.level, s.idx) = (w.tree, w.level, w.idx) where s.n > 1"
+
+_MANIFEST = f"""
+    with recursive crc as (select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)) t),
+    leaves as (select doc_id, lang, sha256({_FIELDS} || {_TEXT.format('text')}) leaf, sha256({_FIELDS} || case when
+        xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)), lambda a, x: xor(t[1 + (xor(a, x) & 255)], a >> 8))) % 3 = 0
+        then {_TEXT.format(_LOWER)} else {_TEXT.format('text')} end) claimed from documents, crc),
+    placed as (select *, case when lang is null then '-' else '=' || lang end tree, row_number() over (partition by lang order by doc_id nulls first, leaf, claimed) - 1 idx, count(*) over (partition by lang) n from leaves),
+    nodes as (select tree, 0 as level, idx, leaf as digest, n from placed union all {_UP.format('nodes')}),
+    siblings as ({_SIBLINGS.format('nodes')}),
+    ways as (select doc_id, leaf, tree, 0 as level, idx, claimed as digest, '' as proof from placed union all {_FOLD.format('ways', 'siblings')}),
+    subroots as (select tree, digest subroot, row_number() over (order by tree) - 1 place, count(*) over () many from nodes where n = 1),
+    over_nodes as (select '' as tree, 0 as level, place as idx, subroot as digest, many as n from subroots union all {_UP.format('over_nodes')}),
+    over_siblings as ({_SIBLINGS.format('over_nodes')}),
+    done as (select w.doc_id, w.leaf, r.tree of_tree, r.subroot, r.place idx, w.digest, w.proof from ways w join nodes t on (t.tree, t.level, t.idx) = (w.tree, w.level, w.idx) and t.n = 1 join subroots r on r.tree = w.tree),
+    over_ways as (select doc_id, leaf, of_tree, subroot, '' as tree, 0 as level, idx, digest, proof from done union all select w.doc_id, w.leaf, w.of_tree, w.subroot, w.tree, w.level + 1, w.idx // 8, sha256(s.before || w.digest || s.after), w.proof || s.before || s.after
+      from over_ways w join over_siblings s on (s.tree, s.level, s.idx) = (w.tree, w.level, w.idx) where s.n > 1)
+    select w.doc_id, w.leaf, w.subroot, t.digest root, sha256(w.proof) proof_sha256, w.digest folded_root, w.digest = t.digest verified from over_ways w join over_nodes t on (t.level, t.idx) = (w.level, w.idx) and t.n = 1"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_merkle_manifest": _MANIFEST,
     "op1_ngram_jaccard": _JACCARD,
     "op7_merkle_audit": f"""
         select page_id, octet_length(record) as length, sha256(record) as record_sha256, coalesce(page_id % 97 = 13, false) as corrupt
