@@ -38,10 +38,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("file_id", F.format_string("DRain_%d-%d_RainNos_Supplier_%d.json", year, year, "file_id").alias("file_name"), F.lit("").alias("source_path"), year.alias("year_start"), year.alias("year_end"), F.lit("Supplier").alias("descriptor"), Q("file_id").cast("string").alias("section_id"), F.lit(2).cast("smallint").alias("num_days"))
 
 
-def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monthly(spark: SparkSession, sf_dir: str, totals: DataFrame | None = None) -> DataFrame:
     """monthly_rainfall: the highest member total, half an inch more for every third page."""
     total = F.max("total") + F.when(Q("file_id") % 3 == 0, 0.5).otherwise(0.0)
-    return member_months(spark, sf_dir).groupBy("file_id", "month").agg(F.round(total, 2).alias("v")).where("v is not null").select(
+    return (totals or member_months(spark, sf_dir)).groupBy("file_id", "month").agg(F.round(total, 2).alias("v")).where("v is not null").select(
         F.concat(F.lit("st/"), F.floor(Q("file_id") / 10).cast("string")).alias("station_file_id"), (Q("file_id") % 10 + 1995).cast("int").alias("year"), "month", Q("v").alias("rainfall_in"))
 
 

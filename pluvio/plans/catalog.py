@@ -191,8 +191,8 @@ def _page():
 
 
 def _matches(spark, sf) -> DataFrame:
-    totals, files = a.member_months(spark, sf), a.pages(spark, sf)
-    return match.top_k(vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)))
+    totals, files = stored.stored(a.member_months(spark, sf), "member_months"), a.pages(spark, sf)  # read three times, as the chain's table
+    return match.top_k(vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(a.monthly(spark, sf, totals), a.stations(spark, sf)))
 
 
 @query(V("pmm", "vec").rstrip() + _MATCH + "select file_id, k query_rank, id rr_vector_id, exact, overlap overlap_months, round(cosine, 6) cosine, round(adjusted, 6) adjusted from tk")
@@ -268,19 +268,24 @@ _PASS = "p as (select file_id, month, day_of_month from cons where (file_id + mo
     select c.file_id, c.month::int as month, c.day_of_month::int day_of_month, coalesce(n20, 0) n_20km, round(m20, 6) median_20km, round(mad20, 6) mad_20km, coalesce(n50, 0) n_50km, round(m50, 6) median_50km, round(mad50, 6) mad_50km
     from cons c left join g using (file_id, month, day_of_month) left join md using (file_id, month, day_of_month)""")
 def neighbour_stats(spark, sf):
-    out = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1)
+    out = _regional(spark, sf)
     return out.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), "n_20km", _r("median_20km").alias("median_20km"), _r("mad_20km").alias("mad_20km"), "n_50km", _r("median_50km").alias("median_50km"), _r("mad_50km").alias("mad_50km"))
 
 
-def _status(spark, sf) -> DataFrame:
-    days = consensus.daily(a.member_days(spark, sf))
+def _regional(spark, sf) -> DataFrame:
+    days = stored.stored(consensus.daily(a.member_days(spark, sf)), "daily_consensus")  # read several times, as the chain's table
+    return regional.daily_stats(a.station_metadata(spark, sf), days, _status(spark, sf, days), 1, 1)
+
+
+def _status(spark, sf, days: DataFrame | None = None) -> DataFrame:
+    days = consensus.daily(a.member_days(spark, sf)) if days is None else days
     ok = (F.col("file_id") + F.col("month")) % 3 != 0
     return days.select(F.lit(1).cast("bigint").alias("qc_session_id"), "file_id", "month", "day_of_month", F.when(ok, "pass").when(F.col("file_id") % 2 == 0, "review").otherwise("fail").alias("final_flag"))
 
 
 @query(V("cons") + "select count(*) as rows, 0::bigint near_above_far, 0::bigint negative_mad, 0::bigint negative_median, 0::bigint median_without_count from cons")
 def neighbour_invariants(spark, sf):
-    return regional.violations(regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1))
+    return regional.violations(_regional(spark, sf))
 
 
 @query("""select a.s_suppkey, b.s_suppkey other, round(sqrt(pow((51.0 + (a.s_suppkey*37 % 97) / 50.0) - (51.0 + (b.s_suppkey*37 % 97) / 50.0), 2) + pow((a.s_suppkey*91 % 89) / 40.0 - (b.s_suppkey*91 % 89) / 40.0, 2)), 6) degrees from supplier a join supplier b on b.s_suppkey = a.s_suppkey + 1""")
@@ -318,8 +323,7 @@ def secondary_scores(spark, sf):
     """Trains both regressors and scores the days that failed; trees have no SQL, so tests hold coverage and flags."""
     from ..operators import secondary
 
-    stats = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1)
-    stats = stored.stored(stats, "regional_daily_stats")  # training reads it many times, as the chain's table
+    stats = stored.stored(_regional(spark, sf), "regional_daily_stats")  # training reads it many times, as the chain's table
     trained = secondary.train(secondary.training_rows(stats, _status(spark, sf), 1))
     return secondary.score(stats, _status(spark, sf), trained, 1)
 
@@ -329,7 +333,7 @@ def secondary_scores(spark, sf):
 def training_rows(spark, sf):
     from ..operators import secondary
 
-    stats = regional.daily_stats(a.station_metadata(spark, sf), consensus.daily(a.member_days(spark, sf)), _status(spark, sf), 1, 1)
+    stats = _regional(spark, sf)
     return secondary.training_rows(stats, _status(spark, sf), 1).select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"))
 
 

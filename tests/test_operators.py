@@ -201,3 +201,59 @@ def test_new_assignment_leaves_no_old_place(spark):
     old = spark.createDataFrame([(1, "x", "n1"), (2, "y", "n2")], "k int, place string, name string")
     new = spark.createDataFrame([(2, "z"), (3, "w")], "k int, place string")
     assert sorted(tuple(r) for r in assign.reassigned(old, new, "k", "place").collect()) == [(1, None, "n1"), (2, "z", "n2")]
+
+
+def _index(n, seed):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    cents = rng.integers(0, 400, (n, 12))
+    cents[rng.random((n, 12)) < 0.1] = 0  # blank months rank as zero
+    rows = pa.table({"rr_vector_id": [f"s{i:06d}" for i in range(n)], "cents": cents.tolist(), "norm": rng.normal(size=(n, 12)).astype(np.float32).tolist()})
+    return match.Index(rows), cents
+
+
+def test_index_finds_what_all_pairs_find():
+    import numpy as np
+
+    index, cents = _index(3000, 1)
+    rng = np.random.default_rng(2)
+    for trial in range(60):
+        months = rng.choice(12, rng.integers(1, 13), replace=False)
+        own = {int(m): rng.integers(0, 420, rng.integers(1, 6)) for m in months}
+        cells = np.array([m * match._SHIFT + v for m, values in own.items() for v in values], np.int64)
+        agree = sum((np.abs(cents[:, m, None] - v[None, :]) <= 1).any(axis=1).astype(int) for m, v in own.items())
+        norm = rng.normal(size=12)
+        norm[rng.random(12) < 0.2] = np.nan
+        cosine = index.cosine(norm, np.arange(3000))
+        want = sorted(zip((-agree).tolist(), (0.1 - cosine).tolist(), index.names))[:10]
+        got, read, scored = index.best(cells, norm, 0.1, 10, [])
+        assert [(-a_, 0.1 - c, n) for a_, c, n in got] == want
+        assert read <= 12 * 3000 and scored <= 3000
+        half = want[3][0]  # the bound of what is known elsewhere
+        others = np.full(10, -half, np.int64)
+        which, found, _, _ = index.candidates(cells, 10, others)
+        assert set(which.tolist()) == set(np.flatnonzero(agree >= max(found.min() if len(found) else 99, -half)).tolist()) or -half == 0
+
+
+def test_stations_that_cannot_be_among_the_best_are_not_scored():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    pages = [np.array([m * match._SHIFT + v for m in range(12) for v in rng.integers(0, 400, 2)], np.int64) for _ in range(40)]
+    scored = {}
+    for n in (2000, 32000):
+        index, _ = _index(n, 4)
+        scored[n] = np.mean([index.best(p, np.ones(12), 0.0, 10, [])[2] for p in pages])
+    assert scored[32000] < 0.75 * 16 * scored[2000] and scored[32000] < 0.1 * 32000, scored
+
+
+def test_match_reports_its_work(spark):
+    import random
+
+    rnd = random.Random(9)
+    monthly, st = _stations(spark, [(1900, [rnd.choice([0.0, 1.0, 2.5, 3.0]) for _ in range(12)]) for _ in range(25)])
+    totals, files = _pages(spark, {p: [rnd.choice([0.0, 1.0, 2.5, 3.01]) for _ in range(12)] for p in range(1, 7)})
+    got = match.ranked(vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(monthly, st), k=4, block=7).collect()
+    assert len(got) == 6 and all(0 < r.scored <= 25 and 0 < r.listed <= 12 * 25 and len(r.best) == 4 for r in got)
