@@ -110,3 +110,22 @@ def events_in_range(annual_rows: DataFrame, events: list[tuple[str, str, str]])
     span = annual_rows.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
     kept = table.withColumn("year", F.year("event_date")).join(F.broadcast(span), F.col("year").between(F.col("lo"), F.col("hi")))
     return kept.join(annual_rows.select("year", "annual_total_mm"), "year", "left").select("event_date", "year", "kind", "label", "annual_total_mm")
+
+
+def station_bitmaps(obs: DataFrame, ids: DataFrame) -> DataFrame:
+    """year, bucket, stations: which stations report in a year, as bitmaps of their dense ids (``numbering.dense``), 32,768 ids each.
+
+    Stored once, they count the stations of any span of years without the observations."""
+    once = obs.where(F.col("station_id").isNotNull()).select("year", "station_id").distinct().join(ids, "station_id")
+    return once.groupBy("year", F.bitmap_bucket_number("id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("stations"))
+
+
+def stations_of_spans(bitmaps: DataFrame, spans: DataFrame) -> DataFrame:
+    """first_year, last_year, n_stations: different stations that report in a span (``first_year``, ``last_year``, both included); 0 where none does.
+
+    A span meets the bitmaps of its years; they are or-ed by bucket and counted. Repeated spans are one."""
+    asked = spans.select(F.col("first_year").cast("int").alias("first_year"), F.col("last_year").cast("int").alias("last_year")).distinct()
+    each = asked.where(F.col("first_year") <= F.col("last_year")).withColumn("year", F.explode(F.sequence("first_year", "last_year")))
+    whole = each.join(bitmaps.withColumn("year", F.col("year").cast("int")), "year").groupBy("first_year", "last_year", "bucket").agg(F.bitmap_or_agg("stations").alias("stations"))
+    counts = whole.groupBy("first_year", "last_year").agg(F.sum(F.bitmap_count("stations")).alias("n_stations"))
+    return asked.join(counts, ["first_year", "last_year"], "left").select("first_year", "last_year", F.coalesce("n_stations", F.lit(0)).cast("bigint").alias("n_stations"))

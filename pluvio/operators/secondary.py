@@ -15,6 +15,9 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import stored
+from . import ranks, sampling
+
 FEATURES = ("n_20km", "median_20km", "mad_20km", "n_50km", "median_50km", "mad_50km", "month")
 MAYBE_NULL = ("median_20km", "mad_20km", "median_50km", "mad_50km")
 TARGET, COVERAGE, FOLDS, HELD_OUT, LEAST_ERROR = "consensus_value", 0.99, 5, 0.2, 1e-6
@@ -49,12 +52,10 @@ def _columns() -> list[str]:
 
 
 def training_rows(stats: DataFrame, status: DataFrame, qc_session_id: int, max_rows: int | None = None, seed: int = 0) -> DataFrame:
-    """Days that passed the first check, have a neighbour within 50 km and a value; a Bernoulli sample if there are more than ``max_rows``."""
+    """Days that passed the first check, have a neighbour within 50 km and a value; a sample of exactly ``max_rows``, the same in every run, if there are more."""
     passed = status.where((F.col("qc_session_id") == qc_session_id) & (F.col("final_flag") == "pass")).select(*KEY)
     rows = stats.where((F.col("n_50km") > 0) & F.col(TARGET).isNotNull()).join(passed, list(KEY), "left_semi").select(*KEY[:1], "day_of_month", *FEATURES, TARGET)
-    if max_rows is not None and (n := rows.count()) > max_rows:
-        rows = rows.sample(False, max_rows / n, seed)
-    return rows
+    return rows if max_rows is None else sampling.bottom_k(stored.stored(rows, "training_rows"), list(KEY), max_rows, seed)
 
 
 def _regressor(label: str, seed: int, iterations: int, depth: int) -> Pipeline:
@@ -91,7 +92,7 @@ def train(rows: DataFrame, coverage: float = COVERAGE, folds: int = FOLDS, held_
 
 def calibrate(scored: DataFrame, coverage: float) -> float:
     """The least factor on ``err`` that covers this share of ``gap``, between two ranks in proportion; 0 without rows."""
-    return float(scored.agg(F.percentile(F.col("gap") / F.col("err"), coverage)).first()[0] or 0.0)
+    return float(ranks.quantiles(scored.select((F.col("gap") / F.col("err")).alias("k")), "k", [coverage])[0] or 0.0)
 
 
 def covered(k: float) -> Column:

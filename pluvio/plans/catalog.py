@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import arrays, compat, geo, qc, text
-from ..operators import analysis, assign, consensus, export, frames, ingest, lookups, match, qc1, regional, registry, vectors
-from ..sources import files, monthly_csv, pages_json, sef, tables
+from ..operators import analysis, assign, consensus, export, frames, incremental, ingest, lookups, match, qc1, ranks, regional, registry, sampling, vectors
+from ..sources import files, monthly_csv, numbering, pages_json, sef, sessions, tables
 from .. import stored
 from . import adapters as a
 
@@ -839,3 +839,99 @@ def places_reset(spark, sf):
     s = a.star(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("bigint").alias("place"), F.lit("approximate").alias("kind"))
     new = s.where("s_suppkey % 3 = 0").select("s_suppkey", (F.col("place") + 100).alias("place"), F.lit("exact").alias("kind"))
     return assign.reassigned(s, new, "s_suppkey", "place", "kind")
+
+
+# --- exact ranks, samples and counts of any size -----------------------------------------------------------------------------------------
+
+_SHARES = (0.0, 0.01, 0.25, 0.5, 0.98, 0.99, 1.0)
+
+
+@query(" union all ".join(f"select {s}::double as share, round(quantile_cont(l_extendedprice, {s}), 6) as between_ranks, round(quantile_disc(l_extendedprice, {s}), 6) as nearest_rank from lineitem" for s in _SHARES))
+def exact_quantiles(spark, sf):
+    """Ranks of all prices, by counting alone."""
+    prices = a.star(spark, sf, "lineitem", "l_extendedprice")
+    both = zip(_SHARES, ranks.quantiles(prices, "l_extendedprice", list(_SHARES)), ranks.quantiles(prices, "l_extendedprice", list(_SHARES), nearest=True))
+    return spark.createDataFrame(list(both), "share double, between_ranks double, nearest_rank double").select("share", _r("between_ranks").alias("between_ranks"), _r("nearest_rank").alias("nearest_rank"))
+
+
+_LANE = "('0x' || substr(md5(file_id || '|' || month || '|' || day_of_month || '|0'), 1, 13))::bigint"
+
+
+@query(SQL["training_rows"].replace("select p.file_id, p.month::int as month", ", tr as (select p.file_id, p.month::int as month", 1) + f") select * from tr qualify row_number() over (order by {_LANE}, file_id, month, day_of_month) <= 1000")
+def training_sample(spark, sf):
+    """A thousand of the training rows, the same in every run and for any partitioning."""
+    from ..operators import secondary
+
+    days = stored.stored(consensus.daily(a.member_days(spark, sf)), "daily_consensus")
+    stats = regional.daily_stats(a.station_metadata(spark, sf), days, _status(spark, sf, days), 1, 1)
+    return secondary.training_rows(stats, _status(spark, sf, days), 1, max_rows=1000).select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"))
+
+
+@query("""select l_orderkey, l_linenumber, l_partkey from lineitem qualify row_number() over (order by ('0x' || substr(md5(l_orderkey || '|' || l_linenumber || '|7'), 1, 13))::bigint, l_orderkey, l_linenumber, l_partkey) <= 5000""")
+def keyed_sample(spark, sf):
+    """Five thousand line items with the least keyed hashes."""
+    return sampling.bottom_k(a.star(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey"), ["l_orderkey", "l_linenumber"], 5000, seed=7)
+
+
+@query(V("obs") + """, ys as (select distinct year::int y from obs)
+    select a.y first_year, b.y last_year, count(distinct station_id) n_stations from ys a join ys b on b.y >= a.y join obs on year between a.y and b.y group by all""")
+def stations_by_span(spark, sf):
+    """Different stations of every span of years, from bitmaps a year."""
+    obs = a.observations(spark, sf)
+    bitmaps = stored.stored(analysis.station_bitmaps(obs, numbering.dense(obs, "station_id")), "station_bitmaps")
+    years = bitmaps.select(F.col("year").cast("int").alias("first_year")).distinct()
+    last = bitmaps.agg(F.max("year").cast("int")).first()[0]
+    spans = years.withColumn("last_year", F.explode(F.sequence("first_year", F.lit(last)))).join(years.withColumnRenamed("first_year", "last_year"), "last_year", "left_semi")
+    return analysis.stations_of_spans(bitmaps, spans)
+
+
+# --- batches, ids that stay, sessions side by side ------------------------------------------------------------------------------------------
+
+
+def _scratch(spark, name: str) -> str:
+    """A folder of the session's shared one, which goes when the application ends."""
+    folder = f"{stored.shared_dir(spark)}/pluvio-{name}-{uuid.uuid4().hex}"
+    stored.Kept(spark, folder)
+    return folder
+
+
+@query(SQL["monthly_check"])
+def incremental_check(spark, sf):
+    """The first check in three batches: half of the pages with every 97th cell wrong, the other half, then the wrong cells mended."""
+    root, values, rr = _scratch(spark, "check"), a.member_days(spark, sf), a.monthly(spark, sf)
+    keys = rr.select("station_file_id", "year").distinct().withColumn("rr_vector_id", F.concat_ws("::", "station_file_id", "year"))
+    matched = qc1.eligible(_planted(spark, sf), 1)
+    numbered = values.withColumn("ensemble_member", (F.row_number().over(Window.partitionBy("file_id", "month", "day_of_month").orderBy("ensemble_member", "rainfall", "is_missing")) - 1).cast("tinyint"))
+    numbered = stored.stored(numbered, "member_days")
+    wrong = F.pmod(F.xxhash64(*incremental.CELL), F.lit(97)) == 0
+    first = F.col("file_id") % 2 == 0
+    batches = (
+        numbered.where(first).withColumn("rainfall", F.when(wrong, 99.0).otherwise(F.col("rainfall"))), numbered.where(~first), numbered.where(first & wrong),
+    )
+    for n, batch in enumerate(batches):
+        incremental.apply(batch, root, n, matched, keys, rr, 1, 3.0)
+    r = incremental.verdicts(spark, root)
+    return r.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), "reason", "qc_flag", "qc_score", _r("monthly_total").alias("monthly_total"), _r("rr_total").alias("rr_total"))
+
+
+@query(V("pages") + "select file_name as name, row_number() over (order by file_name) id from pages")
+def page_ids_in_parts(spark, sf):
+    """Page ids given in three parts, the second of which is given twice: as if all had come at once."""
+    names, root = a.pages(spark, sf).select(F.col("file_name").alias("name")), _scratch(spark, "ids") + "/ids"
+    for lower, upper in (("", "DRain_1995"), ("DRain_1995", "DRain_1998"), ("DRain_1995", "DRain_1998"), ("DRain_1995", "~")):
+        numbering.assign(names.where((F.col("name") >= lower) & (F.col("name") < upper)), "name", root)
+    return numbering.known(spark, root, "name")
+
+
+@query(V("cons") + """select s.s::bigint qc_session_id, file_id, month::int as month, day_of_month::int day_of_month, case when s.s = 1 then 0.5 else 0.75 end::double final_score from cons, range(1, 4) s(s) where s.s <> 2 and file_id % 5 = s.s""")
+def sessions_side_by_side(spark, sf):
+    """Three sessions are opened before any has written; the second one's rows are staged and never published, the third is run again."""
+    root, days = _scratch(spark, "sessions"), stored.stored(consensus.daily(a.member_days(spark, sf)), "daily_consensus")
+    numbers = [sessions.claim(spark, root, "daily_qc_status") for _ in range(3)]
+    rows = lambda n, score: days.where(F.col("file_id") % 5 == n).select(F.lit(n).alias("qc_session_id"), "file_id", "month", "day_of_month", F.lit(score).alias("final_score"))
+    for n, score, shown in ((numbers[2], 0.25, True), (numbers[1], 1.0, False), (numbers[0], 0.5, True), (numbers[2], 0.75, True)):
+        folder = sessions.stage(rows(n, score), root, "daily_qc_status", n)
+        if shown:
+            sessions.publish(spark, root, "daily_qc_status", n, folder)
+    out = sessions.read(spark, root, "daily_qc_status")
+    return out.select("qc_session_id", "file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), "final_score")

@@ -7,9 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .. import stored
+from . import numbering
 from ..functions import text
 
 MONTHS, MEMBERS = 12, 5
@@ -64,23 +63,17 @@ def _cells(good: DataFrame, wanted: Column) -> DataFrame:
     return cell.select("file_id", "key", "month", (F.col("j") + 1).cast("tinyint").alias("ensemble_member"), F.when(~_missing(F.col("v")), F.col("v").try_cast("double")).alias("value"), _missing(F.col("v")).cast("tinyint").alias("is_missing"))
 
 
-def with_ids(parsed: DataFrame) -> DataFrame:
-    """file_id: 1, 2, ... over the pages that parse, in order of their paths.
-
-    Ids are dense, so the order is global; it is taken over paths alone: ranges of paths are counted, then numbered each by itself."""
+def with_ids(parsed: DataFrame, ids: str | None = None) -> DataFrame:
+    """file_id: 1, 2, ... over the pages that parse, in order of their paths; with a folder ``ids``, pages that its table knows keep their numbers and
+    new ones follow, so that pages ingested in parts, or by a stream, have the ids that one ingest in that order would give them."""
     good = parsed.where("error is null")
-    n = max(1, good.sparkSession.sparkContext.defaultParallelism)
-    # written, so that a range that is computed again keeps its bounds
-    spread = stored.stored(good.select("source_path").distinct().repartitionByRange(n, "source_path").withColumn("part", F.spark_partition_id()), "page_paths")
-    sizes = spread.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    numbered = spread.join(F.broadcast(before), "part").withColumn("file_id", (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy("source_path"))).cast("bigint")).drop("part", "before")
-    return good.join(numbered, "source_path")
+    numbered = numbering.dense(good, "source_path") if ids is None else numbering.assign(good, "source_path", ids)
+    return good.join(numbered.withColumnRenamed("id", "file_id"), "source_path")
 
 
-def tables(parsed: DataFrame) -> dict[str, DataFrame]:
+def tables(parsed: DataFrame, ids: str | None = None) -> dict[str, DataFrame]:
     """ensemble_files, ensemble_daily_values, ensemble_monthly_totals and ensemble_ingestion_file_errors."""
-    good = with_ids(parsed)
+    good = with_ids(parsed, ids)
     is_day = F.col("key") != "Totals"
     days = F.size(F.filter(F.map_keys("grid"), lambda k: k != "Totals")).cast("smallint")
     daily = _cells(good, is_day).withColumn("day_of_month", F.regexp_extract("key", r"(\d+)$", 1).cast("tinyint"))

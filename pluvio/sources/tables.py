@@ -56,9 +56,11 @@ def write_session(df: DataFrame, root: str, name: str, session_column: str) -> N
 
 
 def next_session(spark: SparkSession, root: str, name: str, session_column: str) -> int:
-    if not exists(spark, f"{root}/{name}"):
-        return 1
-    return (spark.read.parquet(f"{root}/{name}").agg(F.max(session_column)).first()[0] or 0) + 1
+    """A number above those of the table, which is the caller's alone (``sessions.claim``): two writers never get the same."""
+    from . import sessions
+
+    held = (spark.read.parquet(f"{root}/{name}").agg(F.max(session_column)).first()[0] or 0) if exists(spark, f"{root}/{name}") else 0
+    return sessions.claim(spark, root, name, held + 1)
 
 
 def years(spark: SparkSession, root: str) -> list[int]:

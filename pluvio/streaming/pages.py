@@ -20,16 +20,23 @@ def page_stream(spark: SparkSession, root: str, files_per_trigger: int = 200) ->
     return pages_json.parse(files)
 
 
-def daily_cells(parsed: DataFrame) -> DataFrame:
-    """The daily values of a stream of pages. A page is known by a hash of its path: dense ids need all pages at once."""
-    good = parsed.where("error is null").withColumn("file_id", F.xxhash64("source_path"))
+def daily_cells(parsed: DataFrame, ids: str) -> DataFrame:
+    """The daily values of pages, with the ids of the table below ``ids``; new pages are added to it."""
+    good = pages_json.with_ids(parsed, ids)
     cells = pages_json._cells(good, F.col("key") != "Totals")
     return cells.select("file_id", F.regexp_extract("key", r"(\d+)$", 1).cast("tinyint").alias("day_of_month"), "month", "ensemble_member", F.col("value").alias("rainfall"), "is_missing")
 
 
-def ingest(spark: SparkSession, root: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Appends the daily values of new pages to a table; each file counts once, restarts included."""
-    return daily_cells(page_stream(spark, root)).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def ingest(spark: SparkSession, root: str, out: str, checkpoint: str, ids: str | None = None) -> StreamingQuery:
+    """Adds the daily values of new pages to a table; each file counts once, restarts included.
+
+    A batch is a folder that is overwritten as a whole, and ids are given once, so one that is repeated after a failure changes nothing. ``ids``: the
+    table of page ids that the batch ingest uses too, by default beside the values."""
+
+    def take(parsed: DataFrame, batch: int) -> None:
+        daily_cells(parsed, ids or f"{out}/_ids").write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/batch={batch}")
+
+    return page_stream(spark, root).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed(events: DataFrame, time: str, value: str, width: str = "1 day", late: str = "1 hour") -> DataFrame:
