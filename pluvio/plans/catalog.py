@@ -603,14 +603,24 @@ def frame_points(spark, sf):
     return p.withColumn("value", _r("value"))
 
 
-@query("""select i frame, 'frame_' || lpad(i::varchar, 7, '0') || '.png' as name, (date '2000-02-27' + (i // 3)::int)::date day_a, case when i = 12 then date '2000-03-02' else (date '2000-02-27' + (i // 3)::int + 1)::date end day_b, case when i = 12 then 0.0 else round((i % 3) / 3.0, 6) end::double step from range(13) t(i)""")
+_SPAN = "with s as (select min(o_orderdate)::date a, max(o_orderdate)::date b, (max(o_orderdate)::date - min(o_orderdate)::date)::int d from orders)"
+
+
+def _span(spark, sf) -> tuple[dt.date, dt.date]:
+    return a.star(spark, sf, "orders", "o_orderdate").agg(F.min("o_orderdate").cast("date"), F.max("o_orderdate").cast("date")).first()
+
+
+@query(_SPAN + """ select i::bigint frame, 'frame_' || lpad(i::varchar, 7, '0') || '.png' as name, (a + (i // 3)::int)::date day_a, case when i = 3 * d then b else (a + (i // 3)::int + 1)::date end day_b,
+    case when i = 3 * d then 0.0 else round((i % 3) / 3.0, 6) end::double step from (select *, unnest(range(3 * d + 1)) i from s)""")
 def frame_plan(spark, sf):
-    return frames.plan(spark, dt.date(2000, 2, 27), dt.date(2000, 3, 2), 3).withColumn("step", _r("step"))
+    """Three frames a day over all days of the orders."""
+    return frames.plan(spark, *_span(spark, sf), 3).withColumn("step", _r("step"))
 
 
-@query("select i shard, i * 14 + least(i, 3) first_index, i * 14 + least(i, 3) + 14 + (i < 3)::int - 1 last_index from range(7) t(i)")
+@query(_SPAN + ", f as (select 3 * d + 1 n from s) select i shard, i * (n // 7) + least(i, n % 7) first_index, i * (n // 7) + least(i, n % 7) + n // 7 + (i < n % 7)::int - 1 last_index from f, range(7) t(i)")
 def frame_shards(spark, sf):
-    return frames.shards(spark, 101, 7)
+    """The same frames in seven blocks."""
+    return frames.shards(spark, frames.total_frames(*_span(spark, sf), 3), 7)
 
 
 # --- relational forms over the plain tables -------------------------------------------------------------------------------------------------
@@ -776,10 +786,13 @@ def upsert(spark, sf):
     return registry.upsert_features(row(0.0, "a"), new).select("file_id", "month", "n", "updated_at")
 
 
-@query("select i frame from range(0, 40) t(i) where i % 7 <> 3")
+@query(_SPAN + ", o as (select distinct (o_orderdate::date - a)::int i from orders, s where o_orderkey % 400 <> 3), f as (select unnest(range(d + 1)) i from s) select i::bigint frame from f where i not in (select i from o where o.i % 11 <> 5)")
 def missing_frames(spark, sf):
-    expected = spark.range(40).select(F.col("id").alias("frame"), F.format_string("frame_%07d.png", "id").alias("name"))
-    return frames.missing(expected, expected.where("frame % 7 = 3")).select("frame")
+    """A frame a day: those of which no order tells that they exist. Every eleventh day's are left out."""
+    start, end = _span(spark, sf)
+    o = a.star(spark, sf, "orders", "o_orderkey", "o_orderdate").where("o_orderkey % 400 <> 3").select(F.datediff(F.col("o_orderdate").cast("date"), F.lit(start)).cast("bigint").alias("frame"))
+    existing = o.where("frame % 11 <> 5").select(F.format_string("frame_%07d.png", "frame").alias("name"))
+    return frames.missing(frames.plan(spark, start, end, 1), existing).select("frame")
 
 
 @query("select round(list_sort(list(l_quantity))[ceil(0.98 * count(*))::int], 6) ceiling from lineitem where l_quantity is not null")
