@@ -37,6 +37,7 @@ HOT = 32
 CHUNK_SHINGLES = 1 << 19
 BUCKET_BYTES = 4 << 20  # of the documents' files; a bucket's postings are some 10 MB
 HUB, HUBS = 256, 100_000  # rows of a node from which on it is a hub, and as many hubs as are sent to every executor
+ROUNDS = 60  # of the components at most
 _BATCH_BYTES = 1 << 20
 _LOW48 = np.uint64((1 << 48) - 1)
 
@@ -392,7 +393,8 @@ def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """u, root: the smallest node that can be reached, for every node of ``edges`` (u, v). Alternates large-star and
-    small-star until nothing changes; each round's edges are a table of at most as many rows, and go when the next one is written."""
+    small-star until nothing changes; each round's edges are a table of at most as many rows, and go when the next one is written.
+    ``ROUNDS`` rounds settle far longer chains than any table holds (they grow with the square of a logarithm); if they do not, that is an error."""
     now, held = keep(edges.where("u != v").distinct(), "edges_0")
     mark, rest = None, []
 
@@ -401,7 +403,7 @@ def components(edges: DataFrame) -> DataFrame:
         rest.append(handle)
         return out
 
-    for step in range(1, 60):
+    for step in range(1, ROUNDS):
         both = written(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), f"both_{step}")
         least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n")), f"least_{step}")
         large = _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -417,6 +419,8 @@ def components(edges: DataFrame) -> DataFrame:
         if seen == mark:
             break
         mark = seen
+    else:
+        raise RuntimeError(f"components are not settled after {ROUNDS - 1} rounds")
     return now.select("u", F.col("v").alias("root"))
 
 

@@ -187,7 +187,8 @@ def store_and_read(docs: DataFrame) -> DataFrame:
 def _read_own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in it:
         out = []
-        for doc_id, n, manifest, own in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        each = (x.as_py() for x in batch.column(3))  # one payload's chunks at a time, however long the others are
+        for doc_id, n, manifest, own in zip(*(batch.column(i).to_pylist() for i in range(3)), each):
             listed = read_manifest(manifest)
             if len(listed) != len(own):
                 raise ValueError(f"{len(listed)} chunks are listed, {len(own)} are stored")

@@ -74,3 +74,15 @@ def test_components_of_a_star(spark):
     edges = spark.range(1, 3000).select(F.col("id").alias("u"), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") - 1).alias("v"))
     got = j.components(edges)
     assert got.where("root <> 0").count() == 0 and got.select("u").distinct().count() == got.count() == 2999
+
+
+def test_components_that_are_not_settled_are_an_error(spark, monkeypatch):
+    import pytest
+
+    from pluvio.llm import jaccard_join
+
+    edges = spark.createDataFrame([(f"{i:04d}", f"{i + 1:04d}") for i in range(64)], "u string, v string")
+    assert {r.root for r in jaccard_join.components(edges).collect()} == {"0000"}
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 3)
+    with pytest.raises(RuntimeError, match="not settled"):
+        jaccard_join.components(edges)
