@@ -9,25 +9,21 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import stored
-from . import ranks, sampling
+from . import booster, ranks, sampling
 
 FEATURES = ("n_20km", "median_20km", "mad_20km", "n_50km", "median_50km", "mad_50km", "month")
-MAYBE_NULL = ("median_20km", "mad_20km", "median_50km", "mad_50km")
 TARGET, COVERAGE, FOLDS, HELD_OUT, LEAST_ERROR = "consensus_value", 0.99, 5, 0.2, 1e-6
 KEY = ("file_id", "month", "day_of_month")
 
 
 @dataclass
 class Trained:
-    value_model: PipelineModel
-    error_model: PipelineModel
+    value_model: booster.Model
+    error_model: booster.Model
     k: float
     coverage_target: float
     coverage_achieved: float
@@ -37,20 +33,6 @@ class Trained:
     r2_transformed: float
 
 
-def features(df: DataFrame) -> DataFrame:
-    """Trees can't take nulls: a null becomes -1 beside an indicator."""
-    out = df
-    for c in FEATURES:
-        out = out.withColumn(f"x_{c}", F.coalesce(F.col(c).cast("double"), F.lit(-1.0)))
-    for c in MAYBE_NULL:
-        out = out.withColumn(f"x_{c}_known", F.col(c).isNotNull().cast("double"))
-    return out
-
-
-def _columns() -> list[str]:
-    return [*(f"x_{c}" for c in FEATURES), *(f"x_{c}_known" for c in MAYBE_NULL)]
-
-
 def training_rows(stats: DataFrame, status: DataFrame, qc_session_id: int, max_rows: int | None = None, seed: int = 0) -> DataFrame:
     """Days that passed the first check, have a neighbour within 50 km and a value; a sample of exactly ``max_rows``, the same in every run, if there are more."""
     passed = status.where((F.col("qc_session_id") == qc_session_id) & (F.col("final_flag") == "pass")).select(*KEY)
@@ -58,36 +40,26 @@ def training_rows(stats: DataFrame, status: DataFrame, qc_session_id: int, max_r
     return rows if max_rows is None else sampling.bottom_k(stored.stored(rows, "training_rows"), list(KEY), max_rows, seed)
 
 
-def _regressor(label: str, seed: int, iterations: int, depth: int) -> Pipeline:
-    tree = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="z", maxIter=iterations, maxDepth=depth, stepSize=0.1, subsamplingRate=0.8, seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=_columns(), outputCol="features"), tree])
-
-
-def train(rows: DataFrame, coverage: float = COVERAGE, folds: int = FOLDS, held_out: float = HELD_OUT, seed: int = 0, iterations: int = 40, depth: int = 5) -> Trained:
-    """Folds and the held-out part follow from a hash of the key, so they are the same in every run."""
+def train(rows: DataFrame, coverage: float = COVERAGE, folds: int = FOLDS, held_out: float = HELD_OUT, seed: int = 0, settings: booster.Settings | None = None) -> Trained:
+    """Folds and the held-out part follow from a hash of the key, so they are the same in every run. The folds' models and the whole one grow in the same jobs."""
+    settings = settings or booster.Settings(seed=seed)
     lane = F.pmod(F.xxhash64(*KEY, F.lit(seed)), F.lit(10_000))
-    data = features(rows).withColumn("y", F.log1p(TARGET)).withColumn("lane", lane)
-    calib, fit = data.where(F.col("lane") < int(held_out * 10_000)), data.where(F.col("lane") >= int(held_out * 10_000)).withColumn("fold", F.pmod("lane", F.lit(folds)))
-    fit = fit.persist()
-    parts = []
-    for f in range(folds):
-        model = _regressor("y", seed, iterations, depth).fit(fit.where(F.col("fold") != f))
-        parts.append(model.transform(fit.where(F.col("fold") == f)).withColumn("e", F.abs(F.col("y") - F.col("z"))).drop("z", "features"))
-    residuals = parts[0]
-    for p in parts[1:]:
-        residuals = residuals.unionByName(p)
-    value_model, error_model = _regressor("y", seed, iterations, depth).fit(fit), _regressor("e", seed, iterations, depth).fit(residuals)
-    scored = _predict(calib, value_model, error_model).withColumn("gap", F.abs(F.col("y") - F.col("z"))).persist()
+    data = stored.stored(rows.withColumn("y", F.log1p(TARGET)).withColumn("lane", lane), "second_check_rows")
+    calib, fit = data.where(F.col("lane") < int(held_out * 10_000)), data.where(F.col("lane") >= int(held_out * 10_000))
+    parts, cuts = booster.prepared(fit, FEATURES, "y", list(KEY), F.pmod("lane", F.lit(folds)), seed)
+    value_models, told = booster.boost(parts, FEATURES, cuts, folds, settings)
+    own = F.try_element_at("margins", F.col("fold") + 1)  # of the model that has not seen the row
+    errors = told.select("h", F.lit(-1).alias("fold"), "parts", F.abs(F.col("y") - own).alias("y"))
+    error_models, _ = booster.boost(errors, FEATURES, cuts, 0, settings)
+    value_model, error_model = value_models[-1], error_models[-1]
+    scored = stored.stored(_predict(calib, value_model, error_model).withColumn("gap", F.abs(F.col("y") - F.col("z"))), "second_check_gaps")
     k = calibrate(scored, coverage)
-    mean_y = F.avg("y")
     row = scored.agg(
         F.count(F.lit(1)).alias("n"), covered(k).alias("covered"),
-        F.avg(F.abs(F.expm1("z") - F.expm1("y"))).alias("mae"), F.sum(F.col("gap") * F.col("gap")).alias("rss"), F.var_pop("y").alias("var"), mean_y.alias("mean"),
+        F.avg(F.abs(F.expm1("z") - F.expm1("y"))).alias("mae"), F.sum(F.col("gap") * F.col("gap")).alias("rss"), F.var_pop("y").alias("var"),
     ).first()
     r2 = 1 - row.rss / (row.var * row.n) if row.n and row.var else float("nan")
-    n_train = fit.count()
-    fit.unpersist(), scored.unpersist()
-    return Trained(value_model, error_model, float(k), coverage, float(row.covered or 0.0), n_train, row.n, float(row.mae or 0.0), float(r2))
+    return Trained(value_model, error_model, float(k), coverage, float(row.covered or 0.0), fit.count(), row.n, float(row.mae or 0.0), float(r2))
 
 
 def calibrate(scored: DataFrame, coverage: float) -> float:
@@ -99,10 +71,8 @@ def covered(k: float) -> Column:
     return F.avg((F.col("gap") <= k * F.col("err")).cast("double"))
 
 
-def _predict(df: DataFrame, value_model: PipelineModel, error_model: PipelineModel) -> DataFrame:
-    first = value_model.transform(df).drop("features")
-    second = error_model.transform(first.withColumnRenamed("z", "value_z")).drop("features")
-    return second.withColumn("err", F.greatest("z", F.lit(LEAST_ERROR))).drop("z").withColumnRenamed("value_z", "z")
+def _predict(df: DataFrame, value_model: booster.Model, error_model: booster.Model) -> DataFrame:
+    return df.withColumn("z", booster.predict(value_model)).withColumn("err", F.greatest(booster.predict(error_model), F.lit(LEAST_ERROR)))
 
 
 def verdict(scored: DataFrame, k: float) -> DataFrame:
@@ -122,7 +92,7 @@ def verdict(scored: DataFrame, k: float) -> DataFrame:
 def score(stats: DataFrame, status: DataFrame, trained: Trained, qc_session_id: int, train_session_id: int = 1, created_at: str | None = None) -> DataFrame:
     """secondary_qc_status of the days that failed the first check."""
     failed = status.where((F.col("qc_session_id") == qc_session_id) & (F.col("final_flag") == "fail")).select(*KEY)
-    rows = features(stats.join(failed, list(KEY), "left_semi"))
+    rows = stats.join(failed, list(KEY), "left_semi")
     judged = verdict(_predict(rows, trained.value_model, trained.error_model), trained.k)
     return judged.select(
         "file_id", "matched_year", "month", "day_of_month", TARGET, "predicted_consensus", "predicted_abs_error", "expectation_lower", "expectation_upper", "secondary_flag",
@@ -131,8 +101,8 @@ def score(stats: DataFrame, status: DataFrame, trained: Trained, qc_session_id:
 
 
 def save(trained: Trained, path: str) -> None:
-    trained.value_model.write().overwrite().save(f"{path}/value_model")
-    trained.error_model.write().overwrite().save(f"{path}/error_model")
+    booster.save(trained.value_model, f"{path}/value_model")
+    booster.save(trained.error_model, f"{path}/error_model")
     facts = {k: getattr(trained, k) for k in ("k", "coverage_target", "coverage_achieved", "n_train", "n_calib", "mae_inches", "r2_transformed")}
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
@@ -140,4 +110,4 @@ def save(trained: Trained, path: str) -> None:
 
 def load(spark: SparkSession, path: str) -> Trained:
     facts = json.loads(spark.read.text(f"{path}/metadata").first().value)
-    return Trained(PipelineModel.load(f"{path}/value_model"), PipelineModel.load(f"{path}/error_model"), **facts)
+    return Trained(booster.load(spark, f"{path}/value_model"), booster.load(spark, f"{path}/error_model"), **facts)

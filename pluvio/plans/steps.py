@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import compat
-from ..operators import assign, consensus, export, ingest, match, qc1, regional, registry, secondary, vectors
+from ..operators import assign, booster, consensus, export, ingest, match, qc1, regional, registry, secondary, vectors
 from ..schemas import SCHEMAS
 from ..sources import sef, tables
 
@@ -96,10 +96,10 @@ def run_regional(spark: SparkSession, consensus_root: str, comparison_root: str,
     return facts
 
 
-def train_second_check(spark: SparkSession, regional_root: str, qc_root: str, secondary_root: str, qc_session_id: int | None = None, max_rows: int | None = None, coverage: float = secondary.COVERAGE, seed: int = 0, iterations: int = 40, depth: int = 5) -> dict:
+def train_second_check(spark: SparkSession, regional_root: str, qc_root: str, secondary_root: str, qc_session_id: int | None = None, max_rows: int | None = None, coverage: float = secondary.COVERAGE, seed: int = 0, iterations: int = booster.Settings.trees, depth: int = booster.Settings.depth, rate: float = booster.Settings.rate) -> dict:
     session, started = _newest(spark, qc_root, "qc_sessions", "qc_session_id", qc_session_id), _now()
     rows = secondary.training_rows(tables.read(spark, regional_root, "regional_daily_stats"), tables.read(spark, qc_root, "daily_qc_status"), session, max_rows, seed)
-    trained = secondary.train(rows, coverage, seed=seed, iterations=iterations, depth=depth)
+    trained = secondary.train(rows, coverage, seed=seed, settings=booster.Settings(trees=iterations, depth=depth, rate=rate, seed=seed))
     number = tables.next_session(spark, secondary_root, "secondary_qc_sessions", "train_session_id")
     secondary.save(trained, f"{secondary_root}/models/session_{number:06d}")
     row = (number, session, started, _now(), "success", trained.k, coverage, trained.coverage_achieved, trained.n_train, trained.n_calib, trained.mae_inches, trained.r2_transformed, None)

@@ -33,11 +33,11 @@ def test_whole_tables_are_read(spark):
     assert catalog.QUERIES["colour_ceiling"](spark, SF).count() == 1
 
 
-def test_second_check_trains_with_the_defaults(spark, monkeypatch):
-    from pluvio.operators import secondary
+def test_second_check_trains_with_its_settings(spark, monkeypatch):
+    from pluvio.operators import booster, secondary
 
     seen = []
     monkeypatch.setattr(secondary, "train", lambda rows, **given: seen.append(given))
     monkeypatch.setattr(secondary, "score", lambda *given: None)
     catalog.QUERIES["secondary_scores"](spark, SF)
-    assert seen == [{}]
+    assert seen == [{"settings": booster.Settings(trees=40, depth=5, rate=0.1)}]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvio.functions import compat
-from pluvio.operators import assign, consensus, export, frames, lookups, match, qc1, regional, secondary, vectors
+from pluvio.operators import assign, booster, consensus, export, frames, lookups, match, qc1, regional, secondary, vectors
 from pluvio.plans import adapters as a
 from pluvio.schemas import SCHEMAS
 
@@ -116,7 +116,7 @@ def test_second_check_covers(spark):
     stats = spark.range(2000).select(F.col("id").alias("file_id"), F.lit(1900).cast("long").alias("matched_year"), (F.col("id") % 12 + 1).cast("int").alias("month"), F.lit(1).alias("day_of_month"), F.lit(3).cast("long").alias("n_20km"), (F.rand(1) * 2).alias("median_20km"), F.lit(None).cast("double").alias("mad_20km"), (F.col("id") % 4).alias("n_50km"), F.rand(2).alias("median_50km"), F.rand(3).alias("mad_50km"))
     stats = stats.withColumn("consensus_value", F.when(F.col("file_id") % 97 != 0, F.col("median_20km") + F.randn(4) * 0.1 + 0.5)).cache()
     status = stats.select(F.lit(1).cast("long").alias("qc_session_id"), "file_id", "month", "day_of_month", F.when(F.col("file_id") % 3 == 0, "fail").otherwise("pass").alias("final_flag"))
-    t = secondary.train(secondary.training_rows(stats, status, 1), iterations=10, depth=3)
+    t = secondary.train(secondary.training_rows(stats, status, 1), settings=booster.Settings(trees=16, depth=3, rate=0.3))
     assert t.coverage_achieved >= 0.97 and t.k > 0 and t.n_calib > 100 and t.r2_transformed > 0.8
     out = secondary.score(stats, status, t, 1)
     r = {x.secondary_flag: x.n for x in out.groupBy("secondary_flag").agg(F.count(F.lit(1)).alias("n")).collect()}
