@@ -61,3 +61,32 @@ def decimals(x: Column, places: int, missing: str = "NA") -> Column:
 def flag_or(text: Column, known: tuple[str, ...], other: str = "other") -> Column:
     t = F.lower(F.trim(text))
     return F.when(t.isin(*known), t).otherwise(F.lit(other))
+
+
+def json_number(x: Column) -> Column:
+    """A double as JSON text: decimals from 1e-4 up to 1e16, beyond that an exponent of two digits or more (``1e-05``); null, NaN and Infinity by those names.
+
+    The digits are the JVM's. Before Java 19 these are not always the fewest for numbers of 16 digits or more; the text reads back as the same double all the same."""
+    plain = F.abs(x).cast("string")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(plain, "E", 1), r"\.", ""), "0+$", "")
+    power = F.substring_index(plain, "E", -1).try_cast("int")
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+    rest = F.substring(digits, power + 2, F.length(digits))
+    large = F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    tail = F.substring(digits, F.lit(2), F.length(digits))
+    size = F.abs(power).cast("string")
+    other = F.concat(F.substring(digits, 1, 1), F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)), F.when(power < 0, "e-").otherwise("e+"), F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size))
+    shifted = F.when(power.between(0, 15), large).when(power.between(-4, -1), small).otherwise(other)
+    sign = F.when(F.startswith(x.cast("string"), F.lit("-")), "-").otherwise("")
+    return F.when(x.isNull(), "null").when(plain.contains("E"), F.concat(sign, shifted)).otherwise(F.concat(sign, plain))
+
+
+def json_list(values: Column) -> Column:
+    """An array of doubles as JSON text, a blank after each comma. Null stays null."""
+    return F.concat(F.lit("["), F.array_join(F.transform(values, json_number), ", "), F.lit("]"))
+
+
+def json_object(**members: Column) -> Column:
+    """JSON text of members in the order of their names. Each is JSON text itself; one that is null is left out."""
+    return F.concat(F.lit("{"), F.concat_ws(", ", *(F.concat(F.lit(f'"{k}": '), v) for k, v in sorted(members.items()))), F.lit("}"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import qc
+from ..functions import qc, text
 from . import consensus as _consensus
 from .assign import EXACT_MONTHS
 
@@ -33,7 +33,11 @@ def results(daily: DataFrame, matched: DataFrame, station_vectors: DataFrame, mo
     reason = F.when(F.col("known").isNull(), "non_exact_specifier").when(F.col("rr_total").isNull(), "missing_rr_monthly_value").otherwise("exact_monthly_compare")
     passed = F.coalesce(gap <= tolerance, F.lit(False)) & F.col("known").isNotNull()
     judged = judged.select("file_id", "month", "monthly_total", "rr_total", gap.alias("absolute_difference"), reason.alias("reason"), passed.alias("passed"))
-    details = F.to_json(F.struct("absolute_difference", F.col("monthly_total").alias("monthly_total_consensus"), "reason", F.col("rr_total").alias("rr_monthly_total"), F.lit(tolerance).alias("tolerance")), {"ignoreNullFields": "false"})
+    compared = F.col("reason") == "exact_monthly_compare"  # only then is there a difference to tell
+    details = text.json_object(
+        absolute_difference=F.when(compared, text.json_number(F.col("absolute_difference"))), monthly_total_consensus=text.json_number(F.col("monthly_total")),
+        reason=F.concat(F.lit('"'), "reason", F.lit('"')), rr_monthly_total=text.json_number(F.when(compared, F.col("rr_total"))), tolerance=text.json_number(F.lit(float(tolerance))),
+    )
     days = daily.select("file_id", F.col("month").cast("int").alias("month"), "day_of_month")
     return days.join(judged, ["file_id", "month"]).select(
         F.lit(qc_session_id).cast("bigint").alias("qc_session_id"), "file_id", F.col("day_of_month").cast("tinyint").alias("day_of_month"), F.col("month").cast("tinyint").alias("month"),

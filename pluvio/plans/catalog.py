@@ -9,6 +9,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -950,3 +951,134 @@ def sessions_side_by_side(spark, sf):
             sessions.publish(spark, root, "daily_qc_status", n, folder)
     out = sessions.read(spark, root, "daily_qc_status")
     return out.select("qc_session_id", "file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), "final_score")
+
+
+# --- tables, sessions and texts as they are stored ---------------------------------------------------------------------------------------
+
+
+_ROUND_TRIP = """, trip as (select replace(l.file_name, '.json', '') station_id, l.matched_location_name location_name, l.matched_latitude lat, l.matched_longitude lon, b.matched_year::int as y, b.month::int m, b.day_of_month::int d,
+      printf('%.1f', b.consensus_value * 25.4)::double value_mm, coalesce(q1 = 'pass' or q2 in ('pass', 'indeterminate'), false) passed
+      from best b join s using (matched_year, group_key) join meta l on l.file_id = s.lead)"""
+
+
+@query(V("cons", "meta").rstrip() + _EXPORT.rstrip() + _LINES.rstrip() + _ROUND_TRIP + """, obs as (select *, make_date(y, m, d) obs_date, y as year from trip)""" + _DAILY.rstrip() + """,
+    named as (select obs_date, location_name from good where ok and location_name is not null qualify row_number() over (partition by obs_date order by value_mm desc, station_id) = 1)
+    select nat.obs_date, nat.year::int as year, n_stations_reporting, round(mean_mm, 6) mean_mm, max_mm, p.station_id argmax_station_id, named.location_name argmax_location, n_wet, n_ge10, n_ge25, n_ge50 from nat left join peak p using (obs_date) left join named using (obs_date)""")
+def analysis_build(spark, sf):
+    """The exchange files built into the analysis set, a partition a year; one year is built again and nothing else changes."""
+    root = _scratch(spark, "analysis")
+    sef.write(_exchange(spark, sf), f"{root}/sef")
+    ingest.sef_analysis(spark, f"{root}/sef", f"{root}/out")
+    ingest.sef_analysis(spark, f"{root}/sef", f"{root}/out", 1996)
+    d = tables.read(spark, f"{root}/out", "daily_national")
+    return d.withColumn("mean_mm", _r("mean_mm"))
+
+
+@query(V("cons", "meta").rstrip() + _EXPORT.rstrip() + _LINES.rstrip() + _ROUND_TRIP + "select y as year, m as month, case when m = 2 and d = 2 then 30 else d end as day, station_id, location_name, round(lat, 4)::double latitude, round(lon, 4)::double longitude, value_mm as value, not passed is_error from trip")
+def animation_days(spark, sf):
+    """Every year's files as the animation reads them: the second of February stands in the files as the thirtieth, and stays."""
+    root = _scratch(spark, "animation")
+    sef.write(_exchange(spark, sf).withColumn("content", F.regexp_replace("content", r"(?m)^(\d{4})\t2\t2\t", "$1\t2\t30\t")), root)
+    out = None
+    for year in tables.years(spark, f"{root}/tsv"):
+        days = sef.days_of_year(spark, root, year).withColumn("year", F.lit(year))
+        out = days if out is None else out.unionByName(days)
+    return out
+
+
+@query(V("qcr", "pages").rstrip() + _RESULTS + """, two as (select file_id, month, day_of_month, case when ok then 'pass' else 'fail' end f, case when ok then 1.0 else 0.0 end s from judged
+      union all select file_id, month, day_of_month, case when file_id % 6 = 0 then 'review' else 'pass' end, 0.96 from judged),
+    rolled as (select case when max((f = 'fail')::int) = 1 then 'fail' when max((f = 'review')::int) = 1 then 'review' else 'pass' end final_flag, case when max((f <> 'pass')::int) = 0 and avg(s) >= 0.95 then 1 else 0 end good from two group by file_id, month, day_of_month)
+    select 1::bigint qc_session_id, 'completed' status, null::varchar as message, true finished, '{"tolerance": 3.0}' config_json, final_flag, count(*) n, sum(good)::bigint promoted from rolled group by final_flag
+    union all select 2, 'failed', 'stopped', true, '{}', null, null, null union all select 3, 'running', null, false, '{"parent": 1}', null, null, null""")
+def check_sessions(spark, sf):
+    """Three sessions: the first one's rows are all wrong at first and inserted again, the second fails before it is consolidated, the third is open."""
+    root = _scratch(spark, "registry")
+    first = _check(spark, sf).drop("qc_session_id")
+    rows = stored.stored(first.unionByName(first.withColumn("check_name", F.lit("other")).withColumn("qc_flag", F.when(F.col("file_id") % 6 == 0, "review").otherwise("pass")).withColumn("qc_score", F.lit(0.96))), "results")
+    one, two = registry.start(spark, root, {"tolerance": 3.0}), registry.start(spark, root, {})
+    registry.start(spark, root, {"parent": one}, parent=one)
+    registry.insert_results(rows.withColumn("qc_flag", F.lit("fail")), root, one)
+    registry.insert_results(rows, root, two)
+    registry.complete(spark, root, two, "failed", "stopped")
+    registry.insert_results(rows, root, one)
+    registry.consolidate(spark, root, one)
+    registry.complete(spark, root, one)
+    told = tables.read(spark, root, "qc_sessions").select("qc_session_id", "status", "message", F.col("completed_at").isNotNull().alias("finished"), "config_json")
+    return told.join(registry.flag_counts(tables.read(spark, root, "daily_qc_status")), "qc_session_id", "left")
+
+
+@query(V("cons") + "select file_id, month::int as month, day_of_month::int day_of_month, round(consensus_value, 6) consensus_value, 10::bigint metadata_session_id, 3::bigint qc_session_id from cons where file_id % 3 = 1")
+def newest_merged_file(spark, sf):
+    """Neighbour tables of four pairs of sessions, three of them merged into files: the newest of these is read, by number and not by name."""
+    root, days = _scratch(spark, "merged"), stored.stored(consensus.daily(a.member_days(spark, sf)), "daily_consensus")
+    rows = lambda part, meta, qc: tables.conform(days.where(F.col("file_id") % 3 == part).withColumn("metadata_session_id", F.lit(meta)).withColumn("qc_session_id", F.lit(qc)), "regional_daily_stats")
+    tables.write(rows(0, 1, 1), root, "regional_daily_stats")
+    for part, meta, check in ((0, 2, 9), (1, 10, 3), (2, 10, 1)):
+        rows(part, meta, check).write.parquet(f"{root}/regional_daily_stats/merged/session_meta{meta}_qc{check}.parquet")
+    d = tables.preferred(spark, root, "regional_daily_stats")
+    return d.select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), _r("consensus_value").alias("consensus_value"), "metadata_session_id", "qc_session_id")
+
+
+@query(V("cons") + "select month::int as month, 'NA' secondary_flag, count(*) n, round(sum(consensus_value), 4) total from cons group by 1")
+def absent_second_check(spark, sf):
+    """Days beside a second check that was never run: its table is absent and counts as one without rows."""
+    days = consensus.daily(a.member_days(spark, sf))
+    second = tables.read_or_empty(spark, _scratch(spark, "absent"), "secondary_qc_status").select("file_id", "month", "day_of_month", "secondary_flag")
+    flag = F.coalesce("secondary_flag", F.lit("NA"))
+    return days.join(second, ["file_id", "month", "day_of_month"], "left").groupBy(F.col("month").cast("int").alias("month"), flag.alias("secondary_flag")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("consensus_value"), 4).alias("total"))
+
+
+@query(V("pmd") + "select file_id, month::int as month, count(*) n, round(coalesce(sum(rainfall), 0), 4) total, sum(case when file_id % 2 = 0 then is_missing else 0 end)::bigint missing, file_id % 2 = 0 is_new from pmd group by file_id, month")
+def tables_of_two_ages(spark, sf):
+    """Daily values in two tables that are read as one list of files; the older one, of odd pages, was written without ``is_missing``.
+
+    A table that is there is not overwritten unasked, and one that is overwritten is replaced."""
+    root, days = _scratch(spark, "ages"), stored.stored(a.member_days(spark, sf), "member_days")
+    new, old = days.where(F.col("file_id") % 2 == 0), days.where(F.col("file_id") % 2 == 1)
+    tables.write(old, f"{root}/new", "ensemble_daily_values", cluster="file_id")
+    try:
+        tables.write(new, f"{root}/new", "ensemble_daily_values")
+        raise AssertionError("a table was overwritten unasked")
+    except AnalysisException:
+        tables.write(new, f"{root}/new", "ensemble_daily_values", "overwrite", cluster="file_id")
+    old.drop("is_missing").write.parquet(f"{root}/old/ensemble_daily_values")
+    d = tables.read_files(spark, "ensemble_daily_values", *(f"{root}/{age}/ensemble_daily_values" for age in ("new", "old")))
+    return d.groupBy("file_id", F.col("month").cast("int").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.round(F.coalesce(F.sum("rainfall"), F.lit(0.0)), 4).alias("total"), F.sum(F.coalesce("is_missing", F.lit(0))).alias("missing"), (F.max("is_missing").isNotNull()).alias("is_new"))
+
+
+@query("""with t as (select l_returnflag, l_linenumber, case l_linenumber when 1 then l_quantity::varchar when 2 then ' ' || l_quantity || ' ' when 3 then 'NA' when 4 then ' na' when 5 then '' when 6 then 'about ' || l_quantity else 'nan' end v from lineitem),
+    u as (select *, case when trim(v) <> '' and upper(trim(v)) <> 'NA' then try_cast(trim(v) as double) end x from t)
+    select l_returnflag, l_linenumber::int l_linenumber, count(*) n, count(x) n_numbers, sum((x is null or isnan(x))::int)::bigint n_missing, round(sum(case when x is null or isnan(x) then 0 else x end), 2) total, max(case when x is null or isnan(x) then 'NA' else printf('%.1f', x) end) greatest_text from u group by 1, 2""")
+def lenient_numbers(spark, sf):
+    """Quantities as hands write them: plain, with blanks, NA, nothing, words, not a number."""
+    n, q = F.col("l_linenumber"), F.col("l_quantity").cast("string")
+    told = F.when(n == 1, q).when(n == 2, F.concat(F.lit(" "), q, F.lit(" "))).when(n == 3, "NA").when(n == 4, " na").when(n == 5, "").when(n == 6, F.concat(F.lit("about "), q)).otherwise("nan")
+    t = a.star(spark, sf, "lineitem", "l_returnflag", "l_linenumber", "l_quantity").withColumn("x", text.lenient_double(told))
+    return t.groupBy("l_returnflag", n.cast("int").alias("l_linenumber")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("x").alias("n_numbers"), F.sum(text.is_missing(F.col("x")).cast("long")).alias("n_missing"), F.round(F.sum(text.finite_or_zero(F.col("x"))), 2).alias("total"), F.max(text.decimals(F.col("x"), 1)).alias("greatest_text"))
+
+
+@query(V("pmd", "pages").rstrip() + _PAGE_FILES + """, first as (select *, row_number() over (order by y, id || '.json') place from texts qualify place <= 100)
+    select 'page' kind, row_number() over (order by place) file_id, id as name from first where old % 11 <> 0 union all select 'error', null, id from first where old % 11 = 0""")
+def capped_page_ingest(spark, sf):
+    """An ingest that is told to take a hundred files takes the first by path, those that fail included."""
+    root = _scratch(spark, "capped")
+    files.write(_page_texts(spark, sf), f"{root}/json", ".json")
+    ingest.pages(spark, f"{root}/json", f"{root}/tables", max_files=100)
+    name = text.without_suffix(F.element_at(F.split("source_path", "/"), -1))
+    good = tables.read(spark, f"{root}/tables", "ensemble_files").select(F.lit("page").alias("kind"), "file_id", F.col("file_name").alias("name"))
+    return good.unionByName(tables.read(spark, f"{root}/tables", "ensemble_ingestion_file_errors").select(F.lit("error").alias("kind"), F.lit(None).cast("bigint").alias("file_id"), name.alias("name")))
+
+
+@query(V("vec") + "select station_file_id || '::' || year rr_vector_id, '[' || array_to_string([x::varchar for x in raw], ', ') || ']' raw_vector_json from vec")
+def vectors_as_text(spark, sf):
+    """Vectors as JSON text, number by number as other programs of the chain write them."""
+    return vectors.station_years(a.monthly(spark, sf), a.stations(spark, sf)).select("rr_vector_id", text.json_list(F.col("raw_vector")).alias("raw_vector_json"))
+
+
+@query(V("qcr", "pages").rstrip() + _RESULTS + """select file_id, month, day_of_month, '{' || case when reason = 'exact_monthly_compare' then '"absolute_difference": ' || abs(monthly_total - rainfall_in)::varchar || ', ' else '' end || '"monthly_total_consensus": ' || monthly_total::varchar
+      || ', "reason": "' || reason || '", "rr_monthly_total": ' || coalesce(case when reason = 'exact_monthly_compare' then rainfall_in::varchar end, 'null') || ', "tolerance": 3.0}' details_json from judged""")
+def check_details(spark, sf):
+    """What the first check notes beside each verdict."""
+    return _check(spark, sf).select("file_id", F.col("month").cast("int").alias("month"), F.col("day_of_month").cast("int").alias("day_of_month"), "details_json")

@@ -113,3 +113,23 @@ def test_statistics_of_long_arrays_are_computed_once(spark):
 def test_all_equal(spark):
     r = one(spark, *(arrays.all_equal(arr(*v)).alias(f"c{i}") for i, v in enumerate(((2.0, 2.0, 2.0), (2.0, None, 2.0), (2.0, 3.0), ()))))
     assert list(r) == [True, False, False, False]
+
+
+def test_json_text(spark):
+    """The same text as json.dumps, for numbers of every size."""
+    import json
+    import random
+    import struct
+
+    rnd = random.Random(9)
+    xs = [0.0, -0.0, 1.0, -2.5, 0.1, 1e-4, 9.9e-5, 1e-5, 1e7, 12345678.5, 1e15, 9.5e15, 1e16, 1.5e16, 1e22, 1e100, 1.7e308, float("nan"), float("inf"), float("-inf"), 123456789012345680.0]
+    xs += [float(f"{rnd.uniform(-1, 1) * 10 ** rnd.randint(-20, 25):.12g}") for _ in range(400)]
+    most = len(xs)
+    xs += [5e-324] + [x for x in (struct.unpack("d", rnd.randbytes(8))[0] for _ in range(200)) if x == x]
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
+    got = [r.t for r in df.coalesce(1).select(text.json_number(F.col("x")).alias("t")).collect()]
+    assert [t for t, x in zip(got[:most], xs) if t != json.dumps(x)] == [] and got[-1] == "null"
+    assert [t for t, x in zip(got[most:], xs[most:]) if json.loads(t) != x] == []
+    one = spark.createDataFrame([([1.0, None, 0.5], "b"), ([], None), (None, "c")], "v array<double>, s string")
+    told = [tuple(r) for r in one.select(text.json_list(F.col("v")), text.json_object(z=F.lit("1"), a=F.concat(F.lit('"'), "s", F.lit('"')))).collect()]
+    assert told == [("[1.0, null, 0.5]", '{"a": "b", "z": 1}'), ("[]", '{"z": 1}'), (None, '{"a": "c", "z": 1}')]

@@ -165,3 +165,18 @@ def test_a_failed_export_leaves_the_old_files(spark, tmp_path):
     assert (tmp_path / "sef/tsv/1901/a.tsv").read_text() == "one\n"
     sef.write(docs.where("year = 1901").withColumn("station_id", F.lit("c")), root)
     assert sorted(str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()) == ["sef/tsv/1901/c.tsv", "sef/tsv/1902/b.tsv"]
+
+
+def test_days_of_an_animation(spark, tmp_path):
+    """Days that the calendar lacks stay, the last line of a day counts, files without position or year have no rows."""
+    def sheet(name, lat, lines, where="Here"):
+        head = ["SEF\t1.0.0", f"ID\t{name}", f"Name\t{where}", f"Lat\t{lat}", "Lon\t1.5", "Alt\tNA", "Source\tNA", "Link\tNA", "Vbl\trr", "Stat\tsum", "Units\tmm", "Meta\t"]
+        return "\n".join([*head, "Year\tMonth\tDay\tHour\tMinute\tPeriod\tValue\tMeta", *lines, ""])
+
+    line = lambda m, d, v, meta="qc1=pass|qc2=NA": f"1901\t{m}\t{d}\t9\t0\t1day\t{v}\t{meta}"
+    docs = [("a", sheet("A", "50.0", [line(2, 30, 1.0), line(2, 30, 2.0, "qc1=fail|qc2=fail"), line("x", 1, 3.0), line(1, 1, "NA"), "1901\t1\t2"], "NA")), ("b", sheet("B", "NA", [line(1, 1, 1.0)])), ("c", sheet("A", "51.0", [line(1, 1, 4.0)])), ("d", "short")]
+    sef.write(spark.createDataFrame([(1901, *d) for d in docs], "year int, station_id string, content string"), str(tmp_path))
+    got = sorted((r.month, r.day, r.station_id, r.location_name, r.latitude, r.value, r.is_error) for r in sef.days_of_year(spark, str(tmp_path), 1901).collect())
+    assert got == [(1, 1, "A", "Here", 51.0, 4.0, False), (2, 30, "A", None, 50.0, 2.0, True)]
+    assert sef.days_of_year(spark, str(tmp_path), 1902).count() == 0
+    assert sef.observations(spark.createDataFrame([(d[1],) for d in docs], "value string")).where("month = 2").count() == 0
