@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import stored
 from . import bpe, fingerprints, jaccard_join, language_id, manifest, media, mixing, passages, pieces, pii, sharding, warc, whitening
 from .common import materialize, table
 
@@ -46,16 +48,25 @@ def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audits a replica of the pages' WARC files in which every 97th record (by id, from 13) has a changed byte."""
+    """The pages written as WARC files, and a replica in which every 97th record (by id, from 13) has a changed byte; both are read back, and what is audited are the stored bytes."""
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
-    both = materialize(warc.lay_out(pages, damaged=F.pmod(F.col("page_id"), F.lit(97)) == 13), "leaves")
-    leaves, replica = both.drop("replica_digest"), both.drop("digest").withColumnRenamed("replica_digest", "digest")
+    leaves, replica = (_through_files(spark, pages, damaged) for damaged in (None, F.pmod(F.col("page_id"), F.lit(97)) == 13))
     mine, theirs = materialize(warc.tree(leaves), "tree"), materialize(warc.tree(replica), "replica_tree")
     found = warc.audit(mine, theirs).select("file", "place", F.lit(True).alias("hit"))
     out = leaves.join(found, ["file", "place"], "left")
     return out.select("page_id", "length", F.col("digest").alias("record_sha256"), F.coalesce("hit", F.lit(False)).alias("corrupt"))
 
 
+def _through_files(spark: SparkSession, pages: DataFrame, damaged: Column | None) -> DataFrame:
+    """The leaves of the pages' files as they are stored; the files go once these are known."""
+    folder = f"{stored.shared_dir(spark)}/pluvio-{uuid.uuid4().hex}"
+    kept = stored.Kept(spark, folder)
+    warc.write_files(pages, f"{folder}/warc", damaged=damaged)
+    leaves = materialize(warc.stored_leaves(spark, f"{folder}/warc"), "leaves")
+    kept.release()
+    return leaves
+
+
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 

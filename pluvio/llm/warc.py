@@ -7,6 +7,9 @@ differ are looked at, so an audit reads a path for each damaged record and nothi
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -46,49 +49,79 @@ def parse_records(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         at = end + 4 + n + 4
 
 
-def lay_out(pages: DataFrame, file_bytes: int = FILE_BYTES, damaged: Column | None = None) -> DataFrame:
-    """file, place, offset, length, page_id, digest: pages as records of files, in order of their ids.
+def lay_out(pages: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """file, page_id, length, digest, place, offset: pages as records of files, in order of their ids, as ``write_files`` puts them.
 
     A record's file is a hash of its id and digest, the number of files follows the bytes, and its offset is the sum of the lengths
-    before it in the file. Null html is an empty block; rows with equal ids are ordered by digest. With ``damaged``, also
-    ``replica_digest``: that of a copy in which one byte in the middle of the damaged records is another."""
+    before it in the file. Null html is an empty block; rows with equal ids are ordered by digest."""
     records = pages.select(F.col("page_id").cast("long").alias("page_id"), record_bytes(F.col("url"), F.col("page_id"), F.col("html")).alias("record"))
     total = pages.select(F.coalesce(F.sum(F.octet_length("html").cast("long") + 300), F.lit(0))).first()[0]
     files = max(1, -(-total // file_bytes))
-    extra = []
-    if damaged is not None:
-        middle = (F.octet_length("record") / 2).cast("int") + 1
-        copy = F.concat(F.substring("record", 1, middle - 1), F.unhex(F.lit("00")), F.substring("record", middle + 1, F.octet_length("record")))
-        extra = [F.when(F.coalesce(damaged, F.lit(False)), F.sha2(copy, 256)).otherwise(F.sha2("record", 256)).alias("replica_digest")]
-    hashed = records.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"), *extra)
+    hashed = records.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
     order = Window.partitionBy("file").orderBy("page_id", "digest")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     placed = hashed.withColumn("file", F.pmod(F.xxhash64("page_id", "digest"), F.lit(files)).cast("int"))
-    return placed.select("file", "page_id", "length", "digest", *(["replica_digest"] if extra else []), (F.row_number().over(order) - 1).cast("long").alias("place"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
+    return placed.select("file", "page_id", "length", "digest", (F.row_number().over(order) - 1).cast("long").alias("place"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
 
 
-def write_files(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
-    """WARC files, a folder for each: a record is a row of text, and the line end that the writer adds is the record's last."""
-    records = pages.select(F.col("page_id").cast("long").alias("page_id"), record_bytes(F.col("url"), F.col("page_id"), F.col("html")).alias("record"))
+def write_files(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES, damaged: Column | None = None) -> None:
+    """Gzipped WARC files, a folder for each: a record is a row of text, and the line end that the writer adds is the record's last.
+
+    With ``damaged``, a replica in which those records have one other byte, a digit of their date; its files hold the same records in the same places."""
+    parts = F.col("url"), F.col("page_id"), F.col("html")
     total = pages.select(F.coalesce(F.sum(F.octet_length("html").cast("long") + 300), F.lit(0))).first()[0]
     files = max(1, -(-total // file_bytes))
-    placed = records.withColumn("digest", F.sha2("record", 256)).withColumn("file", F.pmod(F.xxhash64("page_id", "digest"), F.lit(files)).cast("int"))
-    text = F.expr("decode(substring(record, 1, octet_length(record) - 2), 'UTF-8')").alias("value")
-    placed.repartition(files, "file").sortWithinPartitions("file", "page_id", "digest").select("file", text).write.partitionBy("file").option("lineSep", "\r\n").text(path)
+    placed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(record_bytes(*parts), 256).alias("digest"), F.coalesce(F.lit(False) if damaged is None else damaged, F.lit(False)).alias("damaged"))
+    placed = placed.withColumn("file", F.pmod(F.xxhash64("page_id", "digest"), F.lit(files)).cast("int")).repartition(files, "file").sortWithinPartitions("file", "page_id", "digest")
+    record = record_bytes(*parts) if damaged is None else F.when(F.col("damaged"), record_bytes(*parts, date="1971-01-01T00:00:00Z")).otherwise(record_bytes(*parts))
+    text = placed.select("file", record.alias("record")).select("file", F.expr("decode(substring(record, 1, octet_length(record) - 2), 'UTF-8')").alias("value"))
+    text.write.partitionBy("file").option("lineSep", "\r\n").option("compression", "gzip").text(path)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+
+
+def _opened(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Each file's path and bytes, unpacked one after the other."""
+    for batch in it:
+        for name, data in zip(batch.column(0), batch.column(1)):
+            yield name.as_py(), gzip.decompress(data.as_py()) if name.as_py().endswith(".gz") else data.as_py()
+
+
+def _page_id(head: dict[str, str]) -> int | None:
+    name = head["WARC-Record-ID"][10:-1]
+    return None if name == "none" else int(name)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """page_id, url, html and the place of every record of the WARC files below a path. A file is parsed in one task."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = [(name, at, int(h["WARC-Record-ID"][10:-1]) if h["WARC-Record-ID"] != "<urn:page:none>" else None, h["WARC-Target-URI"], block.decode("utf-8")) for at, h, block in parse_records(data)]
-                cols = list(zip(*rows)) if rows else [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["path", "offset", "page_id", "url", "html"])
+        for name, data in _opened(it):
+            rows = [(name, at, _page_id(h), h["WARC-Target-URI"], block.decode("utf-8")) for at, h, block in parse_records(data)]
+            cols = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["path", "offset", "page_id", "url", "html"])
+
+    return _stored(spark, path).transform(mapped, run, "path string, offset long, page_id long, url string, html string")
+
 
-    return found.select("path", "content").transform(mapped, run, "path string, offset long, page_id long, url string, html string")
+def stored_leaves(spark: SparkSession, path: str) -> DataFrame:
+    """file, page_id, length, digest, place, offset of every record of the WARC files below a path, as ``lay_out`` has them, but from the bytes that are stored.
+
+    Offsets count the unpacked file. A file is read in one task, whose memory is the file's. A file that does not parse is an error that names the place; no file, no rows."""
+    names, types = ("file", "page_id", "length", "digest", "place", "offset"), (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, data in _opened(it):
+            file, rows = int(re.search(r"file=(\d+)", name)[1]), []
+            found = [(at, _page_id(h)) for at, h, _ in parse_records(data)]
+            for place, (at, page_id) in enumerate(found):
+                end = found[place + 1][0] if place + 1 < len(found) else len(data)
+                rows.append((file, page_id, end - at, hashlib.sha256(memoryview(data)[at:end]).hexdigest(), place, at))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, types)], names=list(names))
+
+    return _stored(spark, path).transform(mapped, run, "file int, page_id long, length long, digest string, place long, offset long")
 
 
 def tree(leaves: DataFrame, fanout: int = FANOUT) -> DataFrame:

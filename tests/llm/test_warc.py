@@ -1,4 +1,5 @@
 import compare
+import pytest
 from pyspark.sql import functions as F
 
 from pluvio.llm import queries, warc
@@ -52,3 +53,28 @@ def test_empty(spark):
     none = _pages(spark).limit(0)
     leaves = warc.lay_out(none)
     assert leaves.count() == 0 and warc.audit(warc.tree(leaves), warc.tree(leaves)).count() == 0
+
+
+def test_audit_of_stored_files(spark, tmp_path):
+    """Leaves read from the files are those that were laid out; a replica's changed bytes, and bytes changed in a stored file, are found."""
+    import gzip
+
+    long = spark.createDataFrame([(900, "http://x/long", "é<p>word</p>\r\n\r\nWARC/1.0" * 20_000)], "page_id long, url string, html string")
+    pages = _pages(spark).unionByName(long)
+    warc.write_files(pages, str(tmp_path / "a"), file_bytes=4000)
+    warc.write_files(pages, str(tmp_path / "b"), file_bytes=4000, damaged=F.col("page_id") % 50 == 7)
+    columns = ["file", "page_id", "length", "digest", "place", "offset"]
+    mine, theirs = warc.stored_leaves(spark, str(tmp_path / "a")).cache(), warc.stored_leaves(spark, str(tmp_path / "b"))
+    laid = warc.lay_out(pages, file_bytes=4000).select(*columns)
+    assert sorted(mine.select(*columns).collect(), key=str) == sorted(laid.collect(), key=str)
+    found = warc.audit(warc.tree(mine, 4), warc.tree(theirs, 4), 4)
+    assert {r.page_id for r in found.join(mine, ["file", "place"]).collect()} == set(range(7, 300, 50)) and found.count() == 6
+    name = next((tmp_path / "b").rglob("part-*"))
+    data = bytearray(gzip.decompress(name.read_bytes()))
+    data[0:4] = b"warc"
+    name.write_bytes(gzip.compress(bytes(data)))
+    (name.parent / f".{name.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception, match="no record at 0"):
+        warc.stored_leaves(spark, str(tmp_path / "b")).collect()
+    warc.write_files(pages.limit(0), str(tmp_path / "none"))
+    assert warc.stored_leaves(spark, str(tmp_path / "none")).count() == 0
