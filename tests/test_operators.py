@@ -257,3 +257,13 @@ def test_match_reports_its_work(spark):
     totals, files = _pages(spark, {p: [rnd.choice([0.0, 1.0, 2.5, 3.01]) for _ in range(12)] for p in range(1, 7)})
     got = match.ranked(vectors.member_values(totals), vectors.pages(totals, files), vectors.station_years(monthly, st), k=4, block=7).collect()
     assert len(got) == 6 and all(0 < r.scored <= 25 and 0 < r.listed <= 12 * 25 and len(r.best) == 4 for r in got)
+
+
+def test_copies_of_stations_and_pages_are_ranked_once(spark):
+    """Twelve copies of two vectors: no page counts more than two stations to the end, and ties still go to the least ids."""
+    monthly, st = _stations(spark, [(1900 + i, [float(m + i % 2) for m in range(1, 13)]) for i in range(24)])
+    totals, files = _pages(spark, {p: [float(m) for m in range(1, 13)] for p in range(1, 6)})
+    rr = vectors.station_years(monthly, st)
+    got = match.ranked(vectors.member_values(totals), vectors.pages(totals, files), rr, k=4, block=7).collect()
+    even = sorted(r.rr_vector_id for r in rr.collect() if r.raw_vector[0] == 1.0)
+    assert len(got) == 5 and all(r.scored <= 2 and [b.rr_vector_id for b in r.best] == even[:4] and {b.exact for b in r.best} == {12} for r in got)
