@@ -78,3 +78,17 @@ def test_audit_of_stored_files(spark, tmp_path):
         warc.stored_leaves(spark, str(tmp_path / "b")).collect()
     warc.write_files(pages.limit(0), str(tmp_path / "none"))
     assert warc.stored_leaves(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_files_are_packed_at_the_fastest_level(spark, tmp_path):
+    import gzip
+    import random
+
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(300)]
+    pages = spark.createDataFrame([(i, f"http://a/{i}", " ".join(r.choice(words) for _ in range(2000))) for i in range(20)], "page_id long, url string, html string")
+    warc.write_files(pages, str(tmp_path / "w"))
+    packed = b"".join(p.read_bytes() for p in sorted((tmp_path / "w").rglob("part-*")))
+    whole = gzip.decompress(packed)
+    assert len(packed) > 1.05 * len(gzip.compress(whole, 6)) and len(packed) < len(whole) / 1.5
+    assert sum(1 for _ in warc.parse_records(whole)) == 20
