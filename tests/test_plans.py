@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pluvio.functions import compat
 from pluvio.operators import analysis, consensus, export, regional
 from pluvio.plans import adapters as a
+from pluvio.plans import catalog
 from pluvio.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +43,8 @@ def test_neighbours_need_no_cartesian_product(spark):
     m = regional.located(a.station_metadata(spark, SF), 1)
     p = plan(regional.station_pairs(m, m))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "Python" not in p
+
+
+def test_a_quantile_reads_a_table(spark):
+    p = catalog.QUERIES["secondary_calibration"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" not in p
