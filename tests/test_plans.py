@@ -45,6 +45,11 @@ def test_neighbours_need_no_cartesian_product(spark):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "Python" not in p
 
 
+def test_a_median_of_a_day_needs_no_buffer_a_day(spark):
+    p = plan(consensus.daily(a.member_days(spark, SF)))
+    assert "ObjectHashAggregate" not in p and "SortAggregate" not in p and p.count("\nExchange") <= 1
+
+
 def test_a_quantile_reads_a_table(spark):
     p = catalog.QUERIES["secondary_calibration"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_shipdate" not in p
