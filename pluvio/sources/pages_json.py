@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import numbering
+from . import files, numbering
 from ..functions import text
 
 MONTHS, MEMBERS = 12, 5
@@ -18,38 +18,37 @@ _KEY = r"^(Totals|Day ([1-9]|[12][0-9]|3[01]))$"
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
     """source_path, file_name (its stem) and content of every JSON file below a root."""
-    files = spark.read.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(root)
-    return files.select(F.col("_metadata.file_path").alias("source_path"), text.without_suffix(F.col("_metadata.file_name")).alias("file_name"), F.col("value").alias("content"))
+    found = files.read(spark, root, "*.json", below=True)
+    return found.select("source_path", text.without_suffix(F.col("name")).alias("file_name"), F.col("value").alias("content"))
 
 
 def _missing(v: Column) -> Column:
     return F.coalesce(F.lower(F.trim(v)) == "missing", F.lit(False))
 
 
-def _kind(v: Column) -> Column:
-    """number (true and false count as 1 and 0), text or nothing."""
-    t = F.schema_of_variant(v)
-    return F.when(v.isNull() | (t == "VOID"), "nothing").when(t == "STRING", "text").when(t.isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | t.startswith("DECIMAL"), "number").otherwise("other")
+def _told(v: Column) -> Column:
+    """What a member is (number, text, nothing or other) and its digits or text, each looked up once: a page has hundreds of members."""
+    with_type = F.transform(v, lambda x: F.struct(x.alias("v"), F.schema_of_variant(x).alias("t")))
+    t = lambda c: c["t"]
+    # true and false count as 1 and 0
+    kind = lambda c: F.when(t(c).isNull() | (t(c) == "VOID"), "nothing").when(t(c) == "STRING", "text").when(t(c).isin("BIGINT", "DOUBLE", "FLOAT", "BOOLEAN") | t(c).startswith("DECIMAL"), "number").otherwise("other")
+    digits = lambda c: F.when(t(c) == "BOOLEAN", F.try_variant_get(c["v"], "$", "boolean").cast("int").cast("string")).when(t(c) != "VOID", F.try_variant_get(c["v"], "$", "string"))
+    return F.transform(with_type, lambda c: F.struct(kind(c).alias("kind"), digits(c).alias("text")))
 
 
-def _text(v: Column) -> Column:
-    """A number's digits, or the text; null for nothing."""
-    number = F.coalesce(F.try_variant_get(v, "$", "boolean").cast("int").cast("string"), F.try_variant_get(v, "$", "string"))
-    return F.when(F.schema_of_variant(v) == "BOOLEAN", number).when(_kind(v) != "nothing", F.try_variant_get(v, "$", "string"))
-
-
-def parse(files: DataFrame) -> DataFrame:
-    """files with ``grid`` and ``error``: null for a page that parses, else what is wrong with it.
+def parse(texts: DataFrame) -> DataFrame:
+    """texts with ``grid`` and ``error``: null for a page that parses, else what is wrong with it.
 
     A number in quotes is no number; no text but ``missing`` (in any case, with blanks around it) is allowed."""
     typed = F.from_json("content", _GRID, {"mode": "PERMISSIVE"})
-    as_text = lambda _, row: F.transform(row, lambda s: F.struct(F.transform(s["values"], _text).alias("values")))
-    parsed = files.withColumn("typed", typed).withColumn("grid", F.transform_values("typed", as_text))
+    told = lambda _, row: F.transform(row, lambda s: F.struct(_told(s["values"]).alias("values")))
+    as_text = lambda _, row: F.transform(row, lambda s: F.struct(F.transform(s["values"], lambda c: c["text"]).alias("values")))
+    parsed = texts.withColumn("typed", F.transform_values(typed, told)).withColumn("grid", F.transform_values("typed", as_text))
     slots = F.flatten(F.map_values("typed"))
     odd_key = F.exists(F.map_keys("typed"), lambda k: ~k.rlike(_KEY))
     odd_slots = F.exists(F.map_values("typed"), lambda v: v.isNull() | (F.size(v) != MONTHS))
     odd_members = F.exists(slots, lambda s: s.isNull() | s["values"].isNull() | (F.size(s["values"]) != MEMBERS))
-    odd_value = F.exists(F.flatten(F.transform(slots, lambda s: s["values"])), lambda v: ~_kind(v).isin("nothing", "number") & ~((_kind(v) == "text") & _missing(_text(v))))
+    odd_value = F.exists(F.flatten(F.transform(slots, lambda s: s["values"])), lambda c: ~c["kind"].isin("nothing", "number") & ~((c["kind"] == "text") & _missing(c["text"])))
     error = (
         F.when(F.col("typed").isNull() | (F.size("typed") == 0), "no JSON object of months").when(odd_key, "unexpected key").when(odd_slots, f"a row without {MONTHS} months")
         .when(odd_members, f"a month without {MEMBERS} values").when(odd_value, "a value that is no number")

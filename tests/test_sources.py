@@ -9,7 +9,7 @@ from pluvio.functions import text
 from pluvio.operators import export, ingest, registry
 from pluvio.plans import catalog
 from pluvio.schemas import SCHEMAS
-from pluvio.sources import monthly_csv, pages_json, sef, tables
+from pluvio.sources import files, monthly_csv, pages_json, sef, tables
 
 MONTHS = monthly_csv.MONTHS
 
@@ -180,3 +180,22 @@ def test_days_of_an_animation(spark, tmp_path):
     assert got == [(1, 1, "A", "Here", 51.0, 4.0, False), (2, 30, "A", None, 50.0, 2.0, True)]
     assert sef.days_of_year(spark, str(tmp_path), 1902).count() == 0
     assert sef.observations(spark.createDataFrame([(d[1],) for d in docs], "value string")).where("month = 2").count() == 0
+
+
+def test_small_files_share_tasks(spark, tmp_path, monkeypatch):
+    """Two hundred files count as eight hundred megabytes; they are read by two tasks, whole, with what is no letter."""
+    monkeypatch.setattr(files, "LEAST_PARTS", 2)
+    texts = {f"p{i}": f"{i}\r\né\n" * (i % 3 + 1) for i in range(200)}
+    (tmp_path / "a").mkdir()
+    for n, t in texts.items():
+        (tmp_path / "a" / f"{n}.json").write_bytes(t.encode())
+    (tmp_path / "a" / "other.txt").write_text("no page")
+    found = pages_json.discover(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 2
+    assert {r.file_name: r.content for r in found.collect()} == texts
+    assert all(r.source_path.startswith("file:/") for r in found.collect())
+
+
+def test_a_members_type_is_looked_up_once(spark):
+    p = pages_json.parse(spark.createDataFrame([("a", "a", "{}")], "source_path string, file_name string, content string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("schemaOfVariant") + p.count("schema_of_variant") == 1
