@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import monthly_csv, pages_json, sef, tables
 from . import analysis
@@ -14,10 +15,16 @@ def _now() -> str:
     return dt.datetime.now(dt.UTC).isoformat(timespec="seconds")
 
 
+def first_files(parsed: DataFrame, n: int) -> DataFrame:
+    """The rows of the first n paths. Paths alone are ranked, so it is known which files these are before any is parsed, and the others are left unread."""
+    last = parsed.select("source_path").orderBy("source_path").limit(n).agg(F.max("source_path")).first()[0]
+    return parsed.where(F.col("source_path") <= F.lit(last))
+
+
 def _run(spark: SparkSession, parsed: DataFrame, make, root: str, label: str, overwrite: bool, max_files: int | None, errors: str) -> dict:
     started = _now()
     if max_files is not None:
-        parsed = parsed.orderBy("source_path").limit(max_files)
+        parsed = first_files(parsed, max_files)
     parsed = parsed.persist()
     made = make(parsed)
     mode = "overwrite" if overwrite else "errorifexists"

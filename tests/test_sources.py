@@ -199,3 +199,15 @@ def test_small_files_share_tasks(spark, tmp_path, monkeypatch):
 def test_a_members_type_is_looked_up_once(spark):
     p = pages_json.parse(spark.createDataFrame([("a", "a", "{}")], "source_path string, file_name string, content string"))._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("schemaOfVariant") + p.count("schema_of_variant") == 1
+
+
+def test_first_files_are_known_before_any_is_parsed(spark, tmp_path):
+    from pluvio.operators import ingest
+
+    for i in range(30):
+        (tmp_path / f"p{i:02}.json").write_text("{}")
+    first = ingest.first_files(pages_json.parse(pages_json.discover(spark, str(tmp_path))), 7)
+    p = first._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" not in p and "Sort" not in p.split("== Physical Plan ==")[1]
+    assert sorted(r.file_name for r in first.collect()) == [f"p{i:02}" for i in range(7)]
+    assert ingest.first_files(pages_json.parse(pages_json.discover(spark, str(tmp_path))), 0).count() == 0
