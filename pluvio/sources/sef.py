@@ -58,7 +58,7 @@ def days_of_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     position has none either, and one without ID goes by its name."""
     if year not in _years(spark, f"{root}/tsv"):
         return spark.createDataFrame([], "month int, day int, station_id string, location_name string, latitude double, longitude double, value double, is_error boolean")
-    texts = spark.read.option("pathGlobFilter", "*.tsv").text(f"{root}/tsv/{year}", wholetext=True).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    texts = files.read(spark, f"{root}/tsv/{year}", "*.tsv").withColumnRenamed("name", "file")
     q1, q2 = _checks()
     name, own = F.coalesce(_named("Name"), F.lit("")), F.regexp_replace("file", r"\.tsv$", "")
     out = _fields(texts, "file").select(
@@ -69,7 +69,7 @@ def days_of_year(spark: SparkSession, root: str, year: int) -> DataFrame:
 def read(spark: SparkSession, root: str, *years: int) -> DataFrame:
     """Observations of the years given, or of all."""
     wanted = years or _years(spark, f"{root}/tsv")
-    return observations(spark.read.option("pathGlobFilter", "*.tsv").text([f"{root}/tsv/{y}" for y in wanted], wholetext=True))
+    return observations(files.read(spark, [f"{root}/tsv/{y}" for y in wanted], "*.tsv"))
 
 
 def for_frames(obs: DataFrame) -> DataFrame:

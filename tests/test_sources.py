@@ -211,3 +211,15 @@ def test_first_files_are_known_before_any_is_parsed(spark, tmp_path):
     assert "TakeOrderedAndProject" not in p and "Sort" not in p.split("== Physical Plan ==")[1]
     assert sorted(r.file_name for r in first.collect()) == [f"p{i:02}" for i in range(7)]
     assert ingest.first_files(pages_json.parse(pages_json.discover(spark, str(tmp_path))), 0).count() == 0
+
+
+def test_exchange_files_share_tasks(spark, tmp_path, monkeypatch):
+    """Two hundred station-years of one year: both readers take them by two tasks, and every one is there."""
+    monkeypatch.setattr(files, "LEAST_PARTS", 2)
+    lines = ["SEF\t1.0.0", "ID\t%d", "Name\tA", "Lat\t51.0", "Lon\t-1.0", "Alt\tNA", "Source\tNA", "Link\tNA", "Vbl\trr", "Stat\tsum", "Units\tmm", "Meta\t", "Year\tMonth\tDay\tHour\tMinute\tPeriod\tValue\tMeta", "1996\t1\t2\t9\t0\t1day\t2.5\tqc1=pass|qc2=NA", ""]
+    (tmp_path / "tsv" / "1996").mkdir(parents=True)
+    for i in range(200):
+        (tmp_path / "tsv" / "1996" / f"s{i}.tsv").write_text("\n".join(lines) % i)
+    found = sef.read(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 2
+    assert {r.station_id for r in found.collect()} == {str(i) for i in range(200)} == {r.station_id for r in sef.days_of_year(spark, str(tmp_path), 1996).collect()}
