@@ -72,3 +72,17 @@ def test_damage_in_the_store_fails_whoever_uses_it(spark):
         with pytest.raises(Exception, match="damaged"):
             media.read_back(records.where(F.col("doc_id") == i), chunks.where(F.col("digest") != F.lit(used))).collect()
     assert media.read_back(records.where("doc_id = 3"), hurt).count() == 1
+
+
+def test_equal_payloads_are_stored_once(spark):
+    """Copies refer to one list: the store holds a payload once, and every copy still gets its values from it."""
+    rng = np.random.default_rng(6)
+    text = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
+    one, other = text(50_000), text(1000)
+    df = spark.createDataFrame([(d, one) for d in range(20)] + [(d, other) for d in range(20, 30)] + [(None, other), (40, text(3000))], "doc_id long, text string")
+    records, chunks = media.store(df)
+    kept = sum(sum(map(len, r.own)) if r.own else len(r.chunk) for r in records.collect() if r.own or r.chunk)
+    assert kept < 60_000
+    rows = media.read_back(records, chunks).collect()
+    assert len(rows) == 32 and all(r.n_shared == (0 if r.doc_id == 40 else r.n_chunks) for r in rows)
+    check(df)
