@@ -267,3 +267,18 @@ def test_copies_of_stations_and_pages_are_ranked_once(spark):
     got = match.ranked(vectors.member_values(totals), vectors.pages(totals, files), rr, k=4, block=7).collect()
     even = sorted(r.rr_vector_id for r in rr.collect() if r.raw_vector[0] == 1.0)
     assert len(got) == 5 and all(r.scored <= 2 and [b.rr_vector_id for b in r.best] == even[:4] and {b.exact for b in r.best} == {12} for r in got)
+
+
+def test_vectors_of_odd_months(spark):
+    nan = float("nan")
+    rain = [("a", 1900, 1, 2.0), ("a", 1900, 1, 1.0), ("a", 1900, 2, 3.0), ("a", 1900, 2, None), ("a", 1900, 3, nan), ("a", 1900, 3, 4.0), ("a", 1900, 4, nan), ("a", 1900, 13, 9.0)]
+    monthly = spark.createDataFrame(rain, "station_file_id string, year int, month int, rainfall_in double")
+    stations = spark.createDataFrame([("a", "A", "1", 1.0, 2.0)], "station_file_id string, location_name string, station_number string, latitude double, longitude double")
+    got = vectors.station_years(monthly, stations).first()
+    assert got.raw_vector == [1.0, 0.0, 4.0] + [0.0] * 9 and got.n_present == 2
+    members = [(1, 1, 5.0, 0), (1, 1, nan, 0), (1, 1, 1.0, 0), (1, 2, None, 0), (1, 2, 3.0, None), (1, 3, 7.0, 1), (1, 4, nan, 0), (1, 5, 2.0, 0), (1, 6, 1.0, 0), (1, 6, 2.0, 0), (1, 6, 4.0, 0), (1, 6, 8.0, 0), (1, 6, 9.0, 0)]
+    totals = spark.createDataFrame([(f, m, 1, t, x) for f, m, t, x in members], "file_id long, month int, ensemble_member int, total double, is_missing int")
+    files = spark.createDataFrame([(1, "n", "d", "s", 1900, 1900)], "file_id long, file_name string, descriptor string, section_id string, year_start int, year_end int")
+    got = vectors.pages(totals, files).first()
+    assert got.raw_vector == [3.0, 1.5, None, None, 2.0, 4.0] + [None] * 6
+    assert got.monthly_iqr == [4.0, 3.0, None, None, None, 7.0] + [None] * 6

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from pluvio.functions import compat
-from pluvio.operators import analysis, consensus, export, qc1, regional
+from pluvio.operators import analysis, consensus, export, qc1, regional, vectors
 from pluvio.plans import adapters as a
 from pluvio.plans import catalog
 from pluvio.sources import tables
@@ -77,3 +77,17 @@ def test_a_check_is_inserted_from_a_table(spark, monkeypatch):
     monkeypatch.setattr(catalog.stored, "stored", lambda df, name, keep=catalog.stored.stored: (seen.append((name, df._jdf.queryExecution().optimizedPlan().toString())), keep(df, name))[1])
     catalog.QUERIES["check_sessions"](spark, SF)
     assert seen and not any("l_shipdate" in p for name, p in seen if name == "results")
+
+
+def test_pages_are_placed_from_stored_vectors(spark):
+    p = catalog.QUERIES["page_places"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" not in p and "l_quantity" not in p
+
+
+def test_vectors_of_months_need_no_lists_and_no_lambdas(spark):
+    totals = spark.createDataFrame([], "file_id long, month int, ensemble_member int, total double, is_missing int")
+    monthly = spark.createDataFrame([], "station_file_id string, year int, month int, rainfall_in double")
+    files = spark.createDataFrame([], "file_id long, file_name string, descriptor string, section_id string, year_start int, year_end int")
+    stations = spark.createDataFrame([], "station_file_id string, location_name string, station_number string, latitude double, longitude double")
+    assert "lambda" not in plan(vectors.pages(totals, files).select("file_id", "raw_vector", "monthly_iqr")).lower()
+    assert "ObjectHashAggregate" not in plan(vectors.station_years(monthly, stations))
