@@ -223,3 +223,20 @@ def test_exchange_files_share_tasks(spark, tmp_path, monkeypatch):
     found = sef.read(spark, str(tmp_path))
     assert found.rdd.getNumPartitions() <= 2
     assert {r.station_id for r in found.collect()} == {str(i) for i in range(200)} == {r.station_id for r in sef.days_of_year(spark, str(tmp_path), 1996).collect()}
+
+
+def test_files_are_listed_by_tasks_as_spark_lists_them(spark, tmp_path):
+    """The driver has no state of a file, and paths, names and bytes are those of Spark's own reader."""
+    root = tmp_path / "odd x%é"
+    for p in ("a/x y.json", "a/é%20#?.json", "b/.h.json", "_c/z.json", "_d=1/q.json", "b/+&;,@!'()[]{}^`|\"<>.json", "top.json", "a/n.txt", "a/deep/er/u v .json"):
+        (root / p).parent.mkdir(parents=True, exist_ok=True)
+        (root / p).write_bytes(p.encode() + b"\xff\x00")
+    rows = lambda df: sorted(map(tuple, df.selectExpr("source_path", "name", "hex(value)").collect()))
+    for paths, below, n in ((str(root), True, 6), ([f"{root}/a", f"{root}/b"], True, 4), (f"{root}/a", False, 2), (f"{root}/_c", False, 1)):
+        got = files.read(spark, paths, "*.json", below)
+        assert got.inputFiles() == []
+        bare = lambda found: [(p.replace("file:///", "file:/"), *r) for p, *r in found]
+        want = rows(files._read_by_spark(spark, paths, "*.json", below))
+        assert (rows(got) == want if isinstance(paths, str) else bare(rows(got)) == bare(want)) and got.count() == n
+    plan = files.read(spark, str(root), "*.json", True).where("source_path < 'x'").select("source_path")._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan  # texts are read only where they are asked for
