@@ -124,3 +124,15 @@ def test_cuts():
     assert len(many) == 254 and all(b - a < 41 for a, b in zip(many, many[1:]))
     parts = booster.parts_of([np.array([0.0, 1.0, 2.0, np.nan])], [[1.0]])
     assert parts.ravel().tolist() == [0, 0, 1, 255]
+
+
+def test_a_level_is_a_job_of_one_stage(spark, monkeypatch):
+    plans = []
+    frame = type(spark.range(1))
+    told = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), told(df))[1])
+    rows = spark.range(500).selectExpr("id", "cast(id % 17 as double) a", "cast(id % 5 as double) b", "cast(id % 17 + id % 5 as double) y").repartition(23)
+    parts, cuts = booster.prepared(rows, ("a", "b"), "y", ["id"])
+    models, _ = booster.boost(parts, ("a", "b"), cuts, settings=booster.Settings(trees=3, depth=3))
+    assert len(plans) == 9 and all("MapInArrow" in p and "Exchange" not in p for p in plans)
+    assert all("Coalesce" in p for p in plans) and len(models[-1].trees.column) == 3
